@@ -45,3 +45,105 @@ def q_rolling_multi(spark, sf):
     tx = tb.tx_view(spark, sf)
     return round_doubles(rolling_features(tx, id_col="id", time_col="dt", value_col="amt",
                                           keys=["card1", "card2", "addr1"], windows_days=[1, 3, 7]))
+
+
+# ---------------------------------------------------------------- preparation
+from pyspark.sql import functions as F  # noqa: E402
+
+from txrisk.operators import prep, profile  # noqa: E402
+
+TX_DAY_KW = dict(day_col="day", id_col="id", label_col="y", amount_col="amt")
+
+
+@query("time_features")
+def q_time_features(spark, sf):
+    return round_doubles(tb.tx_days(spark, sf).select("id", "seconds_of_day", "cents", "day"))
+
+
+@query("identity_left_join")
+def q_left_join(spark, sf):
+    return tb.joined_documents(spark, sf)
+
+
+@query("null_profile")
+def q_null_profile(spark, sf):
+    return prep.null_counts(tb.joined_documents(spark, sf))
+
+
+@query("impute")
+def q_impute(spark, sf):
+    return prep.impute(tb.joined_documents(spark, sf), exclude=("doc_id",))
+
+
+def _encode_input(spark, sf):
+    tx = tb.tx_view(spark, sf)
+    return tx.select("id", "product", F.col("addr1").cast("string").alias("addr1"),
+                     F.col("card2").cast("string").alias("card2"))
+
+
+@query("encode_categories")
+def q_encode(spark, sf):
+    return prep.encode_categories(_encode_input(spark, sf), declared=["addr1"],
+                                  plain=["product", "card2"])
+
+
+@query("split_profile")
+def q_split_profile(spark, sf):
+    return round_doubles(prep.split_profile(tb.tx_days(spark, sf), offline_weeks=2,
+                                            day_col="day", label_col="y"))
+
+
+# ---------------------------------------------------------------- profiling
+@query("batch_manifest_7d")
+def q_batch_manifest(spark, sf):
+    _, stream = prep.split_train_test(tb.tx_days(spark, sf), offline_weeks=2, day_col="day")
+    return round_doubles(profile.batch_manifest(stream, 7, day_col="day", label_col="y"))
+
+
+@query("daily_batches")
+def q_daily_batches(spark, sf):
+    return round_doubles(profile.batch_manifest(tb.tx_days(spark, sf), 1, day_col="day",
+                                                label_col="y"))
+
+
+@query("daily_stats")
+def q_daily_stats(spark, sf):
+    return round_doubles(profile.daily_stats(tb.tx_days(spark, sf), **TX_DAY_KW))
+
+
+@query("daily_stats_mean")
+def q_daily_stats_mean(spark, sf):
+    return round_doubles(profile.daily_stats_mean(tb.tx_days(spark, sf), **TX_DAY_KW))
+
+
+@query("describe_by_class")
+def q_describe(spark, sf):
+    return round_doubles(profile.describe_by_class(tb.tx_view(spark, sf), label_col="y",
+                                                   value_col="amt"))
+
+
+@query("top_values")
+def q_top_values(spark, sf):
+    return profile.top_values(tb.tx_view(spark, sf), ["product", "card2", "addr1"], 5)
+
+
+@query("pivot_counts")
+def q_pivot(spark, sf):
+    return profile.pivot_counts(tb.tx_view(spark, sf), group_col="product", label_col="y")
+
+
+@query("box_stats")
+def q_box(spark, sf):
+    return round_doubles(profile.box_stats(tb.tx_view(spark, sf), label_col="y", value_col="amt"))
+
+
+@query("dataset_summary")
+def q_summary(spark, sf):
+    return round_doubles(profile.dataset_summary(tb.tx_days(spark, sf), label_col="y",
+                                                 day_col="day"))
+
+
+@query("duplicate_keys")
+def q_dups(spark, sf):
+    o = tb.table(spark, sf, "orders").select("o_custkey", F.to_date("o_orderdate").alias("o_orderdate"))
+    return profile.duplicate_keys(o, ["o_custkey", "o_orderdate"])

@@ -68,3 +68,107 @@ SQL: dict[str, str] = {}
 SQL["rolling_user_1d_7d"] = f"WITH {TX} " + rolling_select("tx", "card1", [1, 7])
 SQL["rolling_ties_orders"] = f"WITH {TIED_ORDERS} " + rolling_select("tied", "cust", [30])
 SQL["rolling_multi_key"] = rolling_multi(TX, "tx", ["card1", "card2", "addr1"], [1, 3, 7])
+
+TXD = TX + """, txd AS (
+  SELECT *, dt % 86400 AS seconds_of_day, amt - floor(amt) AS cents,
+         floor((dt - (SELECT min(dt) FROM tx)) / 86400)::INT AS day
+  FROM tx)"""
+
+SQL["time_features"] = f"""WITH {TXD}
+SELECT id, seconds_of_day, round(cents, 6) AS cents, day FROM txd"""
+
+DOCS_JOIN = """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+SQL["identity_left_join"] = DOCS_JOIN
+
+SQL["null_profile"] = f"""WITH j AS ({DOCS_JOIN})
+SELECT 'doc_id' AS "column", count(*) - count(doc_id) AS nulls FROM j
+UNION ALL SELECT 'lang', count(*) - count(lang) FROM j
+UNION ALL SELECT 'source', count(*) - count(source) FROM j
+UNION ALL SELECT 'n_chars', count(*) - count(n_chars) FROM j
+UNION ALL SELECT 'quality', count(*) - count(quality) FROM j
+UNION ALL SELECT 'toxic', count(*) - count(toxic) FROM j"""
+
+SQL["impute"] = f"""WITH j AS ({DOCS_JOIN})
+SELECT doc_id, coalesce(lang, 'missing') AS lang, coalesce(source, 'missing') AS source,
+       coalesce(n_chars, 0) AS n_chars, coalesce(quality, 0) AS quality,
+       coalesce(toxic, 0) AS toxic FROM j"""
+
+SQL["encode_categories"] = f"""WITH {TX}, e AS (
+  SELECT id, product, addr1::VARCHAR AS addr1, card2::VARCHAR AS card2 FROM tx)
+SELECT id,
+  (dense_rank() OVER (ORDER BY product) - 1)::INT AS product,
+  (dense_rank() OVER (ORDER BY addr1 ASC NULLS LAST) - 1)::INT AS addr1,
+  (dense_rank() OVER (ORDER BY coalesce(card2, 'missing')) - 1)::INT AS card2
+FROM e"""
+
+SQL["split_profile"] = f"""WITH {TXD}
+SELECT CASE WHEN day < 14 THEN 'train' ELSE 'test' END AS side, count(*) AS rows,
+       round(avg(y), 6) AS positive_rate, min(day) AS first_day, max(day) AS last_day
+FROM txd GROUP BY 1"""
+
+
+def _manifest(src: str, width: int) -> str:
+    return f"""SELECT batch_id, (f + batch_id * {width})::INT AS start_day,
+       (f + batch_id * {width} + {width - 1})::INT AS end_day, count(*) AS size,
+       round(avg(y), 6) AS positive_rate
+FROM (SELECT *, floor((day - f) / {width})::INT AS batch_id
+      FROM (SELECT *, min(day) OVER () AS f FROM {src}))
+GROUP BY batch_id, f"""
+
+
+SQL["batch_manifest_7d"] = f"WITH {TXD}, s AS (SELECT * FROM txd WHERE day >= 14) " + _manifest("s", 7)
+SQL["daily_batches"] = f"WITH {TXD} " + _manifest("txd", 1)
+
+DAILY = """SELECT day, count(id) AS TransactionCount, sum(y)::BIGINT AS FraudCount,
+       avg(y) AS FraudRate, avg(amt) AS AvgTransactionAmt FROM txd GROUP BY day"""
+
+SQL["daily_stats"] = f"""WITH {TXD}, d AS ({DAILY})
+SELECT day, TransactionCount, FraudCount, round(FraudRate, 6) AS FraudRate,
+       round(AvgTransactionAmt, 6) AS AvgTransactionAmt FROM d"""
+
+SQL["daily_stats_mean"] = f"""WITH {TXD}, d AS ({DAILY})
+SELECT round(avg(TransactionCount), 6) AS avg_daily_count,
+       round(avg(FraudCount), 6) AS avg_daily_positives,
+       round(avg(FraudRate), 6) AS avg_daily_rate,
+       round((SELECT avg(y) FROM txd), 6) AS overall_rate FROM d"""
+
+SQL["describe_by_class"] = f"""WITH {TX}
+SELECT y, count(amt) AS count, round(avg(amt), 6) AS mean, round(stddev_samp(amt), 6) AS std,
+       round(min(amt), 6) AS min, round(quantile_cont(amt, 0.25), 6) AS p25,
+       round(quantile_cont(amt, 0.5), 6) AS p50, round(quantile_cont(amt, 0.75), 6) AS p75,
+       round(max(amt), 6) AS max
+FROM tx GROUP BY y"""
+
+SQL["top_values"] = f"""WITH {TX}, s AS (
+  SELECT 'product' AS "column", product::VARCHAR AS value FROM tx
+  UNION ALL SELECT 'card2', card2::VARCHAR FROM tx
+  UNION ALL SELECT 'addr1', addr1::VARCHAR FROM tx),
+c AS (SELECT "column", value, count(*) AS cnt FROM s WHERE value IS NOT NULL GROUP BY ALL)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY cnt DESC, value ASC)::INT AS pos FROM c)
+WHERE pos <= 5"""
+
+SQL["pivot_counts"] = f"""WITH {TX}
+SELECT product, count(*) FILTER (WHERE y = 0) AS n_0, count(*) FILTER (WHERE y = 1) AS n_1
+FROM tx GROUP BY product"""
+
+SQL["box_stats"] = f"""WITH {TX}, d AS (SELECT y, amt FROM tx WHERE amt < 500),
+q AS (SELECT y, quantile_cont(amt, 0.25) AS q1, quantile_cont(amt, 0.5) AS median,
+             quantile_cont(amt, 0.75) AS q3 FROM d GROUP BY y),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT d.y, round(f.q1, 6) AS q1, round(f.median, 6) AS median, round(f.q3, 6) AS q3,
+       round(min(amt) FILTER (WHERE amt BETWEEN lo AND hi), 6) AS whisker_low,
+       round(max(amt) FILTER (WHERE amt BETWEEN lo AND hi), 6) AS whisker_high,
+       count(*) FILTER (WHERE NOT (amt BETWEEN lo AND hi)) AS outliers, count(*) AS n
+FROM d JOIN f ON d.y = f.y GROUP BY d.y, f.q1, f.median, f.q3"""
+
+SQL["dataset_summary"] = f"""WITH {TXD}
+SELECT 12 AS columns, 11 AS features, count(*) AS rows, sum(y)::BIGINT AS positives,
+       (count(*) - sum(y))::BIGINT AS negatives, round(avg(y), 6) AS positive_rate,
+       max(day) AS last_day, max(day) - min(day) + 1 AS span_days,
+       round((max(day) - min(day) + 1) / 30.0, 6) AS span_months
+FROM txd"""
+
+SQL["duplicate_keys"] = """SELECT o_custkey, o_orderdate::DATE AS o_orderdate, count(*) AS n
+FROM orders GROUP BY 1, 2 HAVING count(*) > 1"""

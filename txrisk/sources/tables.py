@@ -82,3 +82,16 @@ def vectors_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("embedding", lambda x: x.cast("double")).alias("vec"),
         F.col("label").alias("label"),
     )
+
+
+def tx_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tx`` plus P1-P3 time features (seconds_of_day, cents, day)."""
+    from txrisk.functions.time import add_time_features
+    return add_time_features(tx_view(spark, sf_dir), time_col="dt", amount_col="amt",
+                             seconds_col="seconds_of_day", cents_col="cents", day_col="day")
+
+
+def joined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 over the partial side table: documents LEFT JOIN labels."""
+    from txrisk.operators.prep import left_join_unique
+    return left_join_unique(documents_view(spark, sf_dir), side_table_view(spark, sf_dir), "doc_id")

@@ -147,3 +147,74 @@ def q_summary(spark, sf):
 def q_dups(spark, sf):
     o = tb.table(spark, sf, "orders").select("o_custkey", F.to_date("o_orderdate").alias("o_orderdate"))
     return profile.duplicate_keys(o, ["o_custkey", "o_orderdate"])
+
+
+# ---------------------------------------------------------------- metrics
+from txrisk.operators import metrics as mt  # noqa: E402
+
+
+def _tx_scored(spark, sf):
+    return mt.with_prediction(tb.tx_view(spark, sf).select("id", "y", "score"))
+
+
+def _labelled(spark, sf, label="quality"):
+    return mt.with_prediction(tb.labelled_scores_view(spark, sf, label))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf):
+    return round_doubles(mt.roc_auc(_tx_scored(spark, sf)))
+
+
+@query("roc_auc_labels")
+def q_roc_auc_labels(spark, sf):
+    q = mt.roc_auc(_labelled(spark, sf, "quality")).select(F.col("auc").alias("auc_quality"))
+    t = mt.roc_auc(_labelled(spark, sf, "toxic")).select("auc").scalar()
+    return round_doubles(q.select("auc_quality", t.alias("auc_toxic")))
+
+
+@query("auc_pr_hard")
+def q_auc_pr_hard(spark, sf):
+    return round_doubles(mt.auc_pr_hard(_tx_scored(spark, sf)))
+
+
+@query("average_precision")
+def q_average_precision(spark, sf):
+    return round_doubles(mt.average_precision(_labelled(spark, sf, "toxic")))
+
+
+@query("confusion_metrics")
+def q_confusion(spark, sf):
+    return round_doubles(mt.confusion_metrics(_tx_scored(spark, sf)))
+
+
+@query("evaluate_labels")
+def q_evaluate(spark, sf):
+    return round_doubles(mt.evaluate(_labelled(spark, sf, "quality"), pred_col="pred"))
+
+
+@query("threshold_sweep")
+def q_sweep(spark, sf):
+    return round_doubles(mt.threshold_sweep(_tx_scored(spark, sf)))
+
+
+@query("best_threshold")
+def q_best(spark, sf):
+    sw = mt.threshold_sweep(_labelled(spark, sf, "toxic"))
+    return round_doubles(mt.best_threshold(sw, "f1"))
+
+
+@query("threshold_top10")
+def q_top10(spark, sf):
+    return round_doubles(mt.threshold_top(mt.threshold_sweep(_tx_scored(spark, sf)), 10))
+
+
+@query("metrics_at_threshold")
+def q_at_threshold(spark, sf):
+    return round_doubles(mt.metrics_at_threshold(tb.tx_view(spark, sf), 0.3))
+
+
+@query("batch_error_rate")
+def q_batch_error(spark, sf):
+    d = profile.with_batch_id(tb.tx_days(spark, sf), 7, day_col="day")
+    return round_doubles(mt.batch_error_rate(mt.with_prediction(d)))

@@ -172,3 +172,84 @@ FROM txd"""
 
 SQL["duplicate_keys"] = """SELECT o_custkey, o_orderdate::DATE AS o_orderdate, count(*) AS n
 FROM orders GROUP BY 1, 2 HAVING count(*) > 1"""
+
+# ------------------------------------------------------------------ metrics
+from txrisk.functions.thresholds import THRESHOLDS  # noqa: E402
+
+GRID = "grid(threshold) AS (VALUES " + ", ".join(f"('{t!r}'::DOUBLE)" for t in THRESHOLDS) + ")"
+
+TX_SCORED = TX + ", sc AS (SELECT id, y, score, (score >= 0.5)::INT AS pred FROM tx)"
+
+
+def labelled(label: str) -> str:
+    return f"""sc AS (SELECT l.doc_id AS id, l.{label}::INT AS y,
+        least(d.n_chars, 5000) / 5000.0 AS score,
+        (least(d.n_chars, 5000) / 5000.0 >= 0.5)::INT AS pred
+      FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+AUC = """(SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN
+           sum(pos * (below + neg / 2.0)) / (sum(pos)::DOUBLE * sum(neg)) END
+  FROM (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+        FROM (SELECT score AS s, sum(y) AS pos, sum(1 - y) AS neg FROM {src} GROUP BY score)))"""
+
+CONF = """(SELECT sum(CASE WHEN y = 1 AND pred = 1 THEN 1 ELSE 0 END)::BIGINT AS tp,
+          sum(CASE WHEN y = 0 AND pred = 1 THEN 1 ELSE 0 END)::BIGINT AS fp,
+          sum(CASE WHEN y = 1 AND pred = 0 THEN 1 ELSE 0 END)::BIGINT AS fn,
+          sum(CASE WHEN y = 0 AND pred = 0 THEN 1 ELSE 0 END)::BIGINT AS tn FROM {src})"""
+
+PRF = """round(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1,
+       round(coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0), 6) AS precision,
+       round(coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0), 6) AS recall"""
+
+SQL["roc_auc"] = f"WITH {TX_SCORED} SELECT round({AUC.format(src='sc')}, 6) AS auc"
+SQL["roc_auc_labels"] = (f"WITH {labelled('quality')}, q AS (SELECT * FROM sc), "
+                         f"{labelled('toxic').replace('sc AS', 'tq AS')} "
+                         f"SELECT round({AUC.format(src='q')}, 6) AS auc_quality, "
+                         f"round({AUC.format(src='tq')}, 6) AS auc_toxic")
+
+HARD = """(SELECT coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0) * coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0)
+         + (1 - coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0)) * ((tp + fn)::DOUBLE / (tp + fp + fn + tn))
+  FROM {conf})"""
+
+SQL["auc_pr_hard"] = f"WITH {TX_SCORED} SELECT round({HARD.format(conf=CONF.format(src='sc'))}, 6) AS auc_pr_hard"
+
+AP = """(SELECT CASE WHEN sum(pos) > 0 THEN sum(pos * cp / cn) / sum(pos) END FROM (
+   SELECT pos, sum(pos) OVER (ORDER BY s DESC) AS cp, sum(pos + neg) OVER (ORDER BY s DESC) AS cn
+   FROM (SELECT score AS s, sum(y) AS pos, sum(1 - y) AS neg FROM {src} GROUP BY score)))"""
+
+SQL["average_precision"] = f"WITH {labelled('toxic')} SELECT round({AP.format(src='sc')}, 6) AS average_precision"
+
+SQL["confusion_metrics"] = f"WITH {TX_SCORED} SELECT tp, fp, fn, tn, {PRF} FROM {CONF.format(src='sc')}"
+
+SQL["evaluate_labels"] = (f"WITH {labelled('quality')} SELECT round({AUC.format(src='sc')}, 6) AS auc, "
+                          f"round({HARD.format(conf=CONF.format(src='sc'))}, 6) AS auc_pr_hard, "
+                          f"round({AP.format(src='sc')}, 6) AS average_precision, {PRF} "
+                          f"FROM {CONF.format(src='sc')}")
+
+SWEEP = """sweep AS (
+  SELECT threshold, tp, fp, fn FROM (
+    SELECT g.threshold,
+           sum(CASE WHEN s.score >= g.threshold AND s.y = 1 THEN 1 ELSE 0 END) AS tp,
+           sum(CASE WHEN s.score >= g.threshold AND s.y = 0 THEN 1 ELSE 0 END) AS fp,
+           sum(CASE WHEN s.score < g.threshold AND s.y = 1 THEN 1 ELSE 0 END) AS fn,
+           count(*) AS n
+    FROM grid g CROSS JOIN sc s GROUP BY g.threshold)
+  WHERE tp + fp > 0 AND tp + fp < n)"""
+
+SWEEP_COLS = f"round(threshold, 6) AS threshold, {PRF}"
+
+SQL["threshold_sweep"] = f"WITH {TX_SCORED}, {GRID}, {SWEEP} SELECT {SWEEP_COLS} FROM sweep"
+SQL["best_threshold"] = (f"WITH {labelled('toxic')}, {GRID}, {SWEEP}, m AS (SELECT threshold, "
+                         "coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1v, * EXCLUDE (threshold) FROM sweep) "
+                         f"SELECT {SWEEP_COLS}, round(f1v, 6) AS score FROM m ORDER BY f1v DESC, threshold ASC LIMIT 1")
+SQL["threshold_top10"] = (f"WITH {TX_SCORED}, {GRID}, {SWEEP} SELECT {SWEEP_COLS} FROM sweep "
+                          "ORDER BY coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) DESC, threshold ASC LIMIT 10")
+
+SQL["metrics_at_threshold"] = (f"WITH {TX}, sc AS (SELECT id, y, score, (score >= 0.3)::INT AS pred FROM tx) "
+                               f"SELECT 0.3::DOUBLE AS threshold, round({AUC.format(src='sc')}, 6) AS auc, {PRF} "
+                               f"FROM {CONF.format(src='sc')}")
+
+SQL["batch_error_rate"] = f"""WITH {TXD}, b AS (
+  SELECT floor((day - (SELECT min(day) FROM txd)) / 7)::INT AS batch_id, y, (score >= 0.5)::INT AS pred FROM txd)
+SELECT batch_id, round(avg((pred <> y)::INT), 6) AS error_rate, count(*) AS size FROM b GROUP BY batch_id"""

@@ -218,3 +218,52 @@ def q_at_threshold(spark, sf):
 def q_batch_error(spark, sf):
     d = profile.with_batch_id(tb.tx_days(spark, sf), 7, day_col="day")
     return round_doubles(mt.batch_error_rate(mt.with_prediction(d)))
+
+
+# ---------------------------------------------------------------- sampling and kNN
+from txrisk.operators import sampling as smp  # noqa: E402
+from txrisk.operators.knn import knn  # noqa: E402
+
+
+def _vectors_y(spark, sf):
+    v = tb.vectors_view(spark, sf)
+    return v.select("id", (F.col("label") == 0).cast("int").alias("y"), "vec")
+
+
+@query("undersample")
+def q_undersample(spark, sf):
+    tx = tb.tx_view(spark, sf).select("id", "y")
+    return smp.undersample(tx, label_col="y", id_col="id")
+
+
+@query("oversample")
+def q_oversample(spark, sf):
+    tx = tb.tx_view(spark, sf).select("id", "y")
+    return smp.oversample(tx, label_col="y", id_col="id")
+
+
+@query("knn5")
+def q_knn5(spark, sf):
+    v = tb.vectors_view(spark, sf).filter(F.col("label") == 0)
+    return round_doubles(knn(v, 5, id_col="id", vec_col="vec"))
+
+
+@query("knn3_by_label")
+def q_knn3_by_label(spark, sf):
+    v = tb.vectors_view(spark, sf)
+    return round_doubles(knn(v, 3, id_col="id", vec_col="vec", group_col="label", n_pivots=8))
+
+
+@query("smote")
+def q_smote(spark, sf):
+    s = smp.smote(_vectors_y(spark, sf), label_col="y", id_col="id", vec_col="vec", k=5)
+    syn = s.filter(F.col("base_id").isNotNull())
+    return round_doubles(syn.select(
+        "id", "base_id", "nn_id", "u", F.col("vec")[0].alias("x0"),
+        F.aggregate("vec", F.lit(0.0), lambda a, x: a + x).alias("xsum")))
+
+
+@query("smoteenn")
+def q_smoteenn(spark, sf):
+    s = smp.smoteenn(_vectors_y(spark, sf), label_col="y", id_col="id", vec_col="vec")
+    return s.select("id", "y")

@@ -253,3 +253,68 @@ SQL["metrics_at_threshold"] = (f"WITH {TX}, sc AS (SELECT id, y, score, (score >
 SQL["batch_error_rate"] = f"""WITH {TXD}, b AS (
   SELECT floor((day - (SELECT min(day) FROM txd)) / 7)::INT AS batch_id, y, (score >= 0.5)::INT AS pred FROM txd)
 SELECT batch_id, round(avg((pred <> y)::INT), 6) AS error_rate, count(*) AS size FROM b GROUP BY batch_id"""
+
+# ------------------------------------------------------------------ sampling / kNN
+
+
+def md5draw(expr: str, stream: str = "") -> str:
+    suffix = f"|42|{stream}" if stream else "|42"
+    return f"('0x' || substr(md5({expr}::VARCHAR || '{suffix}'), 1, 8))::BIGINT"
+
+
+SQL["undersample"] = f"""WITH {TX},
+d AS (SELECT id, y, {md5draw('id')} AS dr FROM tx),
+r AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY dr, id) AS rn FROM d)
+SELECT id, y FROM r WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM tx GROUP BY y))"""
+
+SQL["oversample"] = f"""WITH {TX},
+c AS (SELECT y, count(*) AS n FROM tx GROUP BY y),
+mi AS (SELECT y, n FROM c ORDER BY n, y LIMIT 1),
+need AS (SELECT max(n) - min(n) AS n FROM c),
+mino AS (SELECT id, y, row_number() OVER (ORDER BY id) - 1 AS idx FROM tx WHERE y = (SELECT y FROM mi)),
+picks AS (SELECT i AS copy_no, {md5draw('i', 'over')} % (SELECT n FROM mi) AS idx
+          FROM (SELECT unnest(range((SELECT n FROM need))) AS i))
+SELECT id, y, NULL::BIGINT AS copy_no FROM tx
+UNION ALL SELECT m.id, m.y, p.copy_no FROM picks p JOIN mino m ON p.idx = m.idx"""
+
+
+def knn_sql(src: str, k: int, partition: str = "") -> str:
+    on = "a.id <> b.id" + (f" AND a.{partition} = b.{partition}" if partition else "")
+    return f"""(SELECT id, nn_rank, nn_id, distance FROM (
+  SELECT a.id, b.id AS nn_id, list_distance(a.vec, b.vec) AS distance,
+         row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.vec, b.vec), b.id)::INT AS nn_rank
+  FROM {src} a JOIN {src} b ON {on}) WHERE nn_rank <= {k})"""
+
+
+VEC = "v AS (SELECT vec_id AS id, label, (label = 0)::INT AS y, embedding::DOUBLE[] AS vec FROM embeddings)"
+
+SQL["knn5"] = (f"WITH {VEC}, v0 AS (SELECT * FROM v WHERE label = 0) "
+               f"SELECT id, nn_rank, nn_id, round(distance, 6) AS distance FROM {knn_sql('v0', 5)}")
+SQL["knn3_by_label"] = (f"WITH {VEC} SELECT id, nn_rank, nn_id, round(distance, 6) AS distance "
+                        f"FROM {knn_sql('v', 3, 'label')}")
+
+SMOTE = f"""{VEC},
+c AS (SELECT y, count(*) AS n FROM v GROUP BY y),
+mi AS (SELECT y, n FROM c ORDER BY n, y LIMIT 1),
+need AS (SELECT max(n) - min(n) AS n FROM c),
+mino AS (SELECT id, vec, row_number() OVER (ORDER BY id) - 1 AS idx FROM v WHERE y = (SELECT y FROM mi)),
+nn AS {knn_sql('mino', 5)},
+picks AS (SELECT i, {md5draw('i', 'base')} % (SELECT n FROM mi) AS idx,
+                 ({md5draw('i', 'nn')} % 5 + 1)::INT AS nn_rank,
+                 {md5draw('i', 'step')} / 4294967296.0::DOUBLE AS u
+          FROM (SELECT unnest(range((SELECT n FROM need))) AS i)),
+syn AS (SELECT -(p.i + 1) AS id, (SELECT y FROM mi) AS y, b.id AS base_id, nn.nn_id, p.u,
+               list_transform(list_zip(b.vec, nv.vec), lambda z: z[1] + p.u * (z[2] - z[1])) AS vec
+        FROM picks p JOIN mino b ON p.idx = b.idx
+        JOIN nn ON nn.id = b.id AND nn.nn_rank = p.nn_rank
+        JOIN mino nv ON nv.id = nn.nn_id)"""
+
+SQL["smote"] = f"""WITH {SMOTE}
+SELECT id, base_id, nn_id, round(u, 6) AS u, round(vec[1], 6) AS x0, round(list_sum(vec), 6) AS xsum FROM syn"""
+
+SQL["smoteenn"] = f"""WITH {SMOTE},
+allv AS (SELECT id, y, vec FROM v UNION ALL SELECT id, y, vec FROM syn),
+nb AS {knn_sql('allv', 3)},
+bad AS (SELECT nb.id, sum((a.y <> b.y)::INT) AS nbad FROM nb JOIN allv a ON a.id = nb.id
+        JOIN allv b ON b.id = nb.nn_id GROUP BY nb.id)
+SELECT a.id, a.y FROM allv a JOIN bad ON a.id = bad.id WHERE bad.nbad = 0"""

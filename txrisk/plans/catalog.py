@@ -267,3 +267,43 @@ def q_smote(spark, sf):
 def q_smoteenn(spark, sf):
     s = smp.smoteenn(_vectors_y(spark, sf), label_col="y", id_col="id", vec_col="vec")
     return s.select("id", "y")
+
+
+# ---------------------------------------------------------------- drift and models
+from txrisk.operators import drift as dr  # noqa: E402
+from txrisk.operators import models as md  # noqa: E402
+
+
+def _error_series(spark, sf):
+    tx = tb.tx_view(spark, sf)
+    err = (mt.hard_prediction(F.col("score")) != F.col("y")).cast("double")
+    return tx.groupBy(F.col("product").alias("series"),
+                      F.floor(F.col("dt") / 21600).cast("long").alias("pos")).agg(
+        F.avg(err).alias("value"))
+
+
+@query("drift_first_detection")
+def q_drift_first(spark, sf):
+    return round_doubles(dr.first_detection(dr.drift_scan(_error_series(spark, sf), "series", "pos", "value")))
+
+
+@query("drift_scan")
+def q_drift_scan(spark, sf):
+    return round_doubles(dr.drift_scan(_error_series(spark, sf), "series", "pos", "value"))
+
+
+def _model_scores(spark, sf, model_type):
+    prepared = tb.tx_prepared(spark, sf)
+    train, test = prep.split_train_test(prepared, offline_weeks=2)
+    model, _ = md.train_model(train, model_type, use_sampling=False)
+    return round_doubles(md.predict_model(model, test))
+
+
+@query("gbt_scores")
+def q_gbt(spark, sf):
+    return _model_scores(spark, sf, "gbt")
+
+
+@query("rf_scores")
+def q_rf(spark, sf):
+    return _model_scores(spark, sf, "rf")

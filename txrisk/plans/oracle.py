@@ -318,3 +318,23 @@ nb AS {knn_sql('allv', 3)},
 bad AS (SELECT nb.id, sum((a.y <> b.y)::INT) AS nbad FROM nb JOIN allv a ON a.id = nb.id
         JOIN allv b ON b.id = nb.nn_id GROUP BY nb.id)
 SELECT a.id, a.y FROM allv a JOIN bad ON a.id = bad.id WHERE bad.nbad = 0"""
+
+# ------------------------------------------------------------------ drift
+SQL["drift_first_detection"] = f"""WITH {TX},
+s AS (SELECT product AS series, floor(dt / 21600)::BIGINT AS pos,
+             avg(((score >= 0.5)::INT <> y)::DOUBLE) AS value FROM tx GROUP BY ALL),
+p AS (SELECT series, pos, row_number() OVER w AS k, sum(value) OVER w AS cs, sum(value * value) OVER w AS cs2
+      FROM s WINDOW w AS (PARTITION BY series ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+m AS (SELECT e.series, e.pos, c.k::DOUBLE AS n0, (e.k - c.k)::DOUBLE AS n1,
+             c.cs / c.k AS mean0, (e.cs - c.cs) / (e.k - c.k) AS mean1,
+             greatest(e.cs2 / e.k - (e.cs / e.k) * (e.cs / e.k), 0) AS var,
+             ln(2 / (0.002 / ln(e.k))) AS lt
+      FROM p e JOIN p c ON e.series = c.series AND c.k >= 5 AND e.k - c.k >= 5 AND e.k >= 10),
+g AS (SELECT series, pos, max(abs(mean0 - mean1) - (sqrt(2 * (1 / n0 + 1 / n1) * var * lt)
+             + 2 * (1 / n0 + 1 / n1) / 3 * lt)) AS margin FROM m GROUP BY series, pos),
+f AS (SELECT series, min(pos) FILTER (WHERE margin >= 0) AS first_pos FROM g GROUP BY series),
+cnt AS (SELECT series, count(*) AS n FROM s GROUP BY series)
+SELECT cnt.series, cnt.n, f.first_pos, round(max(g.margin), 6) AS max_margin
+FROM cnt JOIN f USING (series) JOIN g USING (series)
+WHERE f.first_pos IS NULL OR g.pos <= f.first_pos
+GROUP BY cnt.series, cnt.n, f.first_pos"""

@@ -95,3 +95,20 @@ def joined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 over the partial side table: documents LEFT JOIN labels."""
     from txrisk.operators.prep import left_join_unique
     return left_join_unique(documents_view(spark, sf_dir), side_table_view(spark, sf_dir), "doc_id")
+
+
+def tx_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tx`` under the transaction table's column names (TransactionID, isFraud,
+    TransactionDT, TransactionAmt, ProductCD, card1, card2, addr1)."""
+    return tx_view(spark, sf_dir).select(
+        F.col("id").alias("TransactionID"), F.col("y").alias("isFraud"),
+        F.col("dt").alias("TransactionDT"), F.col("amt").alias("TransactionAmt"),
+        F.col("product").alias("ProductCD"), "card1", "card2", "addr1")
+
+
+def tx_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 over ``tx``: time features -> impute -> category codes."""
+    from txrisk.functions.time import add_time_features
+    from txrisk.operators.prep import encode_categories, impute
+    d = add_time_features(tx_transactions(spark, sf_dir))
+    return encode_categories(impute(d), declared=["ProductCD"])

@@ -307,3 +307,27 @@ def q_gbt(spark, sf):
 @query("rf_scores")
 def q_rf(spark, sf):
     return _model_scores(spark, sf, "rf")
+
+
+# ---------------------------------------------------------------- storage
+from txrisk.session import shared_path  # noqa: E402
+from txrisk.sources import ingest  # noqa: E402
+from txrisk.sources.feature_store import FeatureStore  # noqa: E402
+
+
+@query("feature_store_roundtrip")
+def q_feature_store(spark, sf):
+    data = tb.tx_transactions(spark, sf)
+    store = FeatureStore(spark, root=shared_path(spark, "features_query", unique=True))
+    store.create_features(data, [1], tag="static_e1", keys=["card1"])        # compute + save
+    merged, names = store.create_features(data, [1], tag="static_e1", keys=["card1"])  # reuse
+    return round_doubles(merged.select("TransactionID", *names))
+
+
+@query("typed_csv_scan")
+def q_typed_csv(spark, sf):
+    path = shared_path(spark, "csv_query", unique=True)
+    tb.tx_transactions(spark, sf).write.option("header", True).csv(path)
+    df = ingest.read_typed_csv(spark, path, ingest.transaction_schema())
+    return df.select("TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "ProductCD",
+                     "card1", "card2", "addr1")

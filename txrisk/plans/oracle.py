@@ -338,3 +338,15 @@ SELECT cnt.series, cnt.n, f.first_pos, round(max(g.margin), 6) AS max_margin
 FROM cnt JOIN f USING (series) JOIN g USING (series)
 WHERE f.first_pos IS NULL OR g.pos <= f.first_pos
 GROUP BY cnt.series, cnt.n, f.first_pos"""
+
+# ------------------------------------------------------------------ storage
+TXR = TX + """, txr AS (SELECT id AS TransactionID, y AS isFraud, dt AS TransactionDT,
+  amt AS TransactionAmt, product AS ProductCD, card1, card2, addr1 FROM tx)"""
+
+SQL["feature_store_roundtrip"] = f"WITH {TXR} " + rolling_select(
+    "txr", "card1", [1], id_col="TransactionID", dt="TransactionDT", amt="TransactionAmt",
+    vname="TransactionAmt", iname="TransactionID")
+
+SQL["typed_csv_scan"] = f"""WITH {TXR}
+SELECT TransactionID, isFraud, TransactionDT, TransactionAmt, ProductCD, card1::INT AS card1,
+       card2::DOUBLE AS card2, addr1::DOUBLE AS addr1 FROM txr"""

@@ -331,3 +331,41 @@ def q_typed_csv(spark, sf):
     df = ingest.read_typed_csv(spark, path, ingest.transaction_schema())
     return df.select("TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "ProductCD",
                      "card1", "card2", "addr1")
+
+
+# ---------------------------------------------------------------- streaming
+from txrisk.streaming import daily as sdaily  # noqa: E402
+from txrisk.streaming.prequential import PrequentialJob, RuleLearner  # noqa: E402
+
+
+@query("stream_daily_counts")
+def q_stream_daily(spark, sf):
+    root = shared_path(spark, "daily_stream", unique=True)
+    sdaily.stage_by_day(tb.tx_transactions(spark, sf), f"{root}/data")
+    out = sdaily.stream_daily_counts(spark, f"{root}/data", f"{root}/out", f"{root}/_checkpoint")
+    return out.select("day", "n", "positives")
+
+
+def _prequential_rule(spark, sf, use_drift=True):
+    prepared = tb.tx_prepared(spark, sf)
+    train, stream = prep.split_train_test(prepared, offline_weeks=2)
+    learner = RuleLearner(F.col("TransactionAmt") / F.lit(500.0))
+    job = PrequentialJob(spark, shared_path(spark, "prequential_query", unique=True), learner,
+                         batch_days=7, window_size=2, use_drift_detection=use_drift)
+    job.initialize(train, stream)
+    job.run()
+    return job
+
+
+@query("stream_prequential_rule")
+def q_stream_rule(spark, sf):
+    job = _prequential_rule(spark, sf)
+    s = job.scored()
+    return round_doubles(s.select("id", "batch_id", "y", "score", "pred"))
+
+
+@query("stream_batch_log")
+def q_stream_log(spark, sf):
+    job = _prequential_rule(spark, sf)
+    return round_doubles(job.log().select("batch_id", "start_day", "end_day", "size", "error_rate",
+                                          "drift", "retrained"))

@@ -350,3 +350,19 @@ SQL["feature_store_roundtrip"] = f"WITH {TXR} " + rolling_select(
 SQL["typed_csv_scan"] = f"""WITH {TXR}
 SELECT TransactionID, isFraud, TransactionDT, TransactionAmt, ProductCD, card1::INT AS card1,
        card2::DOUBLE AS card2, addr1::DOUBLE AS addr1 FROM txr"""
+
+# ------------------------------------------------------------------ streaming
+SQL["stream_daily_counts"] = f"""WITH {TX}
+SELECT floor(dt / 86400)::BIGINT AS day, count(*) AS n, sum(y)::BIGINT AS positives FROM tx GROUP BY 1"""
+
+STREAM_SIDE = TXD + """, st AS (SELECT *, floor((day - (SELECT min(day) FROM txd WHERE day >= 14)) / 7)::INT AS batch_id
+  FROM txd WHERE day >= 14)"""
+
+SQL["stream_prequential_rule"] = f"""WITH {STREAM_SIDE}
+SELECT id, batch_id, y, round(amt / 500.0, 6) AS score, (amt / 500.0 >= 0.5)::INT AS pred FROM st"""
+
+SQL["stream_batch_log"] = f"""WITH {STREAM_SIDE}
+SELECT batch_id, (14 + batch_id * 7)::INT AS start_day, (14 + batch_id * 7 + 6)::INT AS end_day,
+       count(*) AS size, round(avg(((amt / 500.0 >= 0.5)::INT <> y)::INT), 6) AS error_rate,
+       false AS drift, false AS retrained
+FROM st GROUP BY batch_id"""

@@ -369,3 +369,26 @@ def q_stream_log(spark, sf):
     job = _prequential_rule(spark, sf)
     return round_doubles(job.log().select("batch_id", "start_day", "end_day", "size", "error_rate",
                                           "drift", "retrained"))
+
+
+# ---------------------------------------------------------------- experiments
+from txrisk.plans import experiments as ex  # noqa: E402
+
+
+@query("static_experiment")
+def q_static_experiment(spark, sf):
+    data = tb.tx_prepared(spark, sf)
+    store = FeatureStore(spark, root=shared_path(spark, "features_static", unique=True))
+    res = ex.run_grid(spark, data, ["baseline", "e1", "e6"], mode="static", model_type="rf",
+                      sampling_type="undersample", offline_weeks=2, store=store)
+    return ex.results_table(res, "static")
+
+
+@query("incremental_experiment")
+def q_incremental_experiment(spark, sf):
+    data = tb.tx_prepared(spark, sf)
+    root = shared_path(spark, "incremental_query", unique=True)
+    res = ex.run_grid(spark, data, ["e1"], mode="incremental", root=root, model_type="rf",
+                      sampling_type="undersample", offline_weeks=2, batch_days=7, window_size=2,
+                      store=FeatureStore(spark, root=f"{root}/features"))
+    return ex.results_table(res, "incremental")

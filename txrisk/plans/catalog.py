@@ -392,3 +392,11 @@ def q_incremental_experiment(spark, sf):
                       sampling_type="undersample", offline_weeks=2, batch_days=7, window_size=2,
                       store=FeatureStore(spark, root=f"{root}/features"))
     return ex.results_table(res, "incremental")
+
+
+@query("training_window_union")
+def q_training_window(spark, sf):
+    from txrisk.streaming.prequential import training_window
+    _, stream = prep.split_train_test(tb.tx_days(spark, sf), offline_weeks=2, day_col="day")
+    staged = profile.with_batch_id(stream, 7, day_col="day")
+    return training_window(staged, 2, 2).select("id", "batch_id", "day", "y")

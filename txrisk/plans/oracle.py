@@ -366,3 +366,7 @@ SELECT batch_id, (14 + batch_id * 7)::INT AS start_day, (14 + batch_id * 7 + 6):
        count(*) AS size, round(avg(((amt / 500.0 >= 0.5)::INT <> y)::INT), 6) AS error_rate,
        false AS drift, false AS retrained
 FROM st GROUP BY batch_id"""
+
+SQL["training_window_union"] = f"""WITH {STREAM_SIDE},
+r AS (SELECT batch_id, dense_rank() OVER (ORDER BY batch_id DESC) AS rk FROM (SELECT DISTINCT batch_id FROM st WHERE batch_id <= 2))
+SELECT id, batch_id, day, y FROM st WHERE batch_id IN (SELECT batch_id FROM r WHERE rk <= 2)"""

@@ -123,6 +123,9 @@ def encode_categories(df: DataFrame, declared=(), plain=(), suffix: str = "") ->
     lookup = category_lookup(df, declared, plain)
     if lookup is None:
         return df
+    # The vocabulary (bounded by column cardinalities) is built by one pass over
+    # the table and stored once, instead of being re-derived for every column.
+    lookup = lookup.checkpoint(eager=True)
     out = df
     for c in declared + plain:
         tmp = f"__code_{c}"

@@ -80,30 +80,33 @@ def knn(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
     def candidates(batches):
         pv, st = bc.value, bstats.value
         for pdf in batches:
+            if len(pdf) == 0:
+                continue
             x = _stack(pdf["vec"])
-            d = _dist_to(x, pv) if len(pdf) else np.zeros((0, pv.shape[0]))
-            out_id, out_grp, out_vec, out_cell = [], [], [], []
-            for i in range(len(pdf)):
-                cells = st.get(pdf["grp"].iat[i], [])
+            d = _dist_to(x, pv)
+            grp = pdf["grp"].to_numpy()
+            out = []
+            for g in np.unique(grp):
+                cells = st.get(g, [])
                 if not cells:
                     continue
+                rows = np.nonzero(grp == g)[0]
                 cid = np.array([c[0] for c in cells])
                 cnt = np.array([c[1] for c in cells])
                 rad = np.array([c[2] for c in cells])
-                dq = d[i, cid]
-                ub = dq + rad
-                order = np.argsort(ub, kind="stable")
-                cum = np.cumsum(cnt[order])
-                pos = np.searchsorted(cum, need)
-                theta = ub[order[min(pos, len(order) - 1)]]
-                keep = cid[(dq - rad) <= theta + 1e-9 * (1.0 + theta)]
-                for c in keep:
-                    out_id.append(pdf["id"].iat[i])
-                    out_grp.append(pdf["grp"].iat[i])
-                    out_vec.append(pdf["vec"].iat[i])
-                    out_cell.append(int(c))
-            yield pd.DataFrame({"id": pd.Series(out_id, dtype="int64"), "grp": out_grp,
-                                "vec": out_vec, "cell": pd.Series(out_cell, dtype="int32")})
+                dq = d[np.ix_(rows, cid)]                       # (n, C)
+                ub = dq + rad                                   # every cell member is within ub
+                order = np.argsort(ub, axis=1, kind="stable")
+                cum = np.cumsum(cnt[order], axis=1)
+                pos = np.minimum((cum < need).sum(axis=1), len(cid) - 1)
+                theta = ub[np.arange(len(rows)), order[np.arange(len(rows)), pos]]
+                keep = (dq - rad) <= (theta + 1e-9 * (1.0 + theta))[:, None]
+                r_idx, c_idx = np.nonzero(keep)
+                sub = pdf.iloc[rows[r_idx]][["id", "grp", "vec"]].reset_index(drop=True)
+                sub["cell"] = cid[c_idx].astype("int32")
+                out.append(sub)
+            if out:
+                yield pd.concat(out, ignore_index=True)
 
     cand = assigned.mapInPandas(candidates, "id long, grp string, vec array<double>, cell int")
     qcount = cand.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("nq"))
@@ -137,24 +140,23 @@ def knn(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
         qid = qpdf["qid"].to_numpy(dtype=np.int64)
         rid, rnn, rd = [], [], []
         step = max(1, 4_000_000 // max(1, m.shape[0] * m.shape[1]))
+        kq = min(kk, m.shape[0])
         for s in range(0, len(qid), step):
-            diff = qv[s:s + step, None, :] - m[None, :, :]
+            q = qv[s:s + step]
+            diff = q[:, None, :] - m[None, :, :]
             dist = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            for i in range(dist.shape[0]):
-                di = dist[i]
-                ok = mid != qid[s + i]
-                cand_idx = np.nonzero(ok)[0]
-                if cand_idx.size == 0:
-                    continue
-                dv = di[cand_idx]
-                if cand_idx.size > kk:
-                    kth = np.partition(dv, kk - 1)[kk - 1]
-                    sel = dv <= kth
-                    cand_idx, dv = cand_idx[sel], dv[sel]
-                order = np.lexsort((mid[cand_idx], dv))[:kk]
-                rid.extend([qid[s + i]] * len(order))
-                rnn.extend(mid[cand_idx[order]].tolist())
-                rd.extend(dv[order].tolist())
+            ids = np.broadcast_to(mid, dist.shape)
+            dist = np.where(ids == qid[s:s + step, None], np.inf, dist)   # never itself
+            order = np.lexsort((ids, dist), axis=1)[:, :kq]                # by (distance, id)
+            dsel = np.take_along_axis(dist, order, axis=1)
+            nsel = np.take_along_axis(ids, order, axis=1)
+            ok = np.isfinite(dsel)
+            rid.append(np.repeat(qid[s:s + step], kq).reshape(-1, kq)[ok])
+            rnn.append(nsel[ok])
+            rd.append(dsel[ok])
+        rid = np.concatenate(rid) if rid else np.zeros(0, dtype=np.int64)
+        rnn = np.concatenate(rnn) if rnn else np.zeros(0, dtype=np.int64)
+        rd = np.concatenate(rd) if rd else np.zeros(0)
         return pd.DataFrame({"id": pd.Series(rid, dtype="int64"), "nn_id": pd.Series(rnn, dtype="int64"),
                              "distance": pd.Series(rd, dtype="float64")})
 

@@ -104,3 +104,16 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
         return []
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(hpath) if s.isDirectory())
 
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create one small file through the Hadoop FileSystem API (any scheme);
+    used for commit markers, not for data."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()

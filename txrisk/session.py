@@ -46,16 +46,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only read here. Only when it is unset (local tests) a private folder is
     created and registered.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    ctx_dir = spark.sparkContext.getCheckpointDir()
+    base = conf_dir or ctx_dir
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder (HDFS/S3/ABFS) "
                                "on a cluster")
         base = tempfile.mkdtemp(prefix="txrisk-ckpt-")  # local mode only (tests)
         spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
+    if not ctx_dir:
+        spark.sparkContext.setCheckpointDir(base)
     return base
 
 

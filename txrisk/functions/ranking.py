@@ -88,13 +88,16 @@ def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
     targets = t.select(*group_cols, F.explode(F.array_distinct(F.array("__lo", "__hi"))).alias("rank")) \
         .distinct()
     vals = values_at_ranks(df, group_cols, value_col, targets, n_buckets)
-    lo = vals.select(*group_cols, F.col("rank").alias("__lo"), F.col("value").alias("__vlo"))
-    hi = vals.select(*group_cols, F.col("rank").alias("__hi"), F.col("value").alias("__vhi"))
-    return (t.join(lo, on=group_cols + ["__lo"], how="inner")
-            .join(hi, on=group_cols + ["__hi"], how="inner")
-            .select(*group_cols, "p",
-                    (F.col("__vlo") + (F.col("__h") - F.col("__lo")) *
-                     (F.col("__vhi") - F.col("__vlo"))).alias("value")))
+    # One join (ranks lo and hi of each p) and one pivot, so the ranking plan is used once.
+    keys = group_cols + ["p", "__h", "__lo", "__hi"]
+    j = t.join(vals, on=group_cols, how="inner").filter(
+        (F.col("rank") == F.col("__lo")) | (F.col("rank") == F.col("__hi")))
+    piv = j.groupBy(*keys).agg(
+        F.max(F.when(F.col("rank") == F.col("__lo"), F.col("value"))).alias("__vlo"),
+        F.max(F.when(F.col("rank") == F.col("__hi"), F.col("value"))).alias("__vhi"))
+    return piv.select(*group_cols, "p",
+                      (F.col("__vlo") + (F.col("__h") - F.col("__lo")) *
+                       (F.col("__vhi") - F.col("__vlo"))).alias("value"))
 
 
 def global_prefix_sum(df: DataFrame, order_col: str, sum_cols, descending: bool = False,

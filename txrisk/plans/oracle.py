@@ -288,8 +288,8 @@ def knn_sql(src: str, k: int, partition: str = "") -> str:
 
 VEC = "v AS (SELECT vec_id AS id, label, (label = 0)::INT AS y, embedding::DOUBLE[] AS vec FROM embeddings)"
 
-SQL["knn5"] = (f"WITH {VEC}, v0 AS (SELECT * FROM v WHERE label = 0) "
-               f"SELECT id, nn_rank, nn_id, round(distance, 6) AS distance FROM {knn_sql('v0', 5)}")
+SQL["knn5"] = (f"WITH {VEC} "
+               f"SELECT id, nn_rank, nn_id, round(distance, 6) AS distance FROM {knn_sql('v', 5)}")
 SQL["knn3_by_label"] = (f"WITH {VEC} SELECT id, nn_rank, nn_id, round(distance, 6) AS distance "
                         f"FROM {knn_sql('v', 3, 'label')}")
 

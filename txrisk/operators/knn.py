@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.draws import draw
+from txrisk.session import ship_package
 
 
 def _stack(series) -> np.ndarray:
@@ -47,6 +48,7 @@ def knn(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
         group_col: str | None = None, n_pivots: int = 32, block_size: int = 1024) -> DataFrame:
     """(id, nn_rank, nn_id, distance): the k nearest other rows of the same group."""
     spark = df.sparkSession
+    ship_package(spark)
     g = F.col(group_col).cast("string") if group_col else F.lit("all")
     data = df.select(F.col(id_col).cast("long").alias("id"), g.alias("grp"),
                      F.col(vec_col).cast("array<double>").alias("vec"))

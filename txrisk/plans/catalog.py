@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.functions.util import round_doubles
+from txrisk.session import ship_package
 from txrisk.operators.rolling import rolling_features
 from txrisk.sources import tables as tb
 
@@ -20,8 +21,12 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
-        return fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)  # workers import txrisk whatever the caller's cwd
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
+        return run
     return deco
 
 

@@ -123,3 +123,44 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``txrisk`` importable in Python workers (pandas UDF bodies refer to
+    its functions), whatever the driver's working directory: zip the package
+    once per application, stage it in the shared folder and register it with
+    ``addPyFile`` (the programmatic ``--py-files``)."""
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = shared_path(spark, "pyfiles", app, "txrisk.zip")
+    write_bytes(spark, target, buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

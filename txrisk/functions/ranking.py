@@ -78,6 +78,9 @@ def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
     """Linear-interpolation quantiles (numpy default, DuckDB ``quantile_cont``):
     (group_cols..., p, value) for every p in ``probs``."""
     group_cols = list(group_cols)
+    if not group_cols:
+        return exact_quantiles(df.withColumn("__g", F.lit(0)), ["__g"], value_col, probs,
+                               n_buckets).drop("__g")
     counts = df.filter(F.col(value_col).isNotNull()).groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("__n"))
     p_arr = F.array(*[F.lit(float(p)) for p in probs])

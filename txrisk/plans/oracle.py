@@ -352,8 +352,8 @@ SELECT TransactionID, isFraud, TransactionDT, TransactionAmt, ProductCD, card1::
        card2::DOUBLE AS card2, addr1::DOUBLE AS addr1 FROM txr"""
 
 # ------------------------------------------------------------------ streaming
-SQL["stream_daily_counts"] = f"""WITH {TX}
-SELECT floor(dt / 86400)::BIGINT AS day, count(*) AS n, sum(y)::BIGINT AS positives FROM tx GROUP BY 1"""
+SQL["stream_daily_counts"] = f"""WITH {TXD}
+SELECT day::BIGINT AS day, count(*) AS n, sum(y)::BIGINT AS positives FROM txd GROUP BY 1"""
 
 STREAM_SIDE = TXD + """, st AS (SELECT *, floor((day - (SELECT min(day) FROM txd WHERE day >= 14)) / 7)::INT AS batch_id
   FROM txd WHERE day >= 14)"""

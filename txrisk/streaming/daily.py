@@ -22,18 +22,26 @@ def stage_by_day(df: DataFrame, path: str, time_col: str = "TransactionDT") -> N
 def stream_daily_counts(spark: SparkSession, staged: str, out: str, checkpoint: str,
                         time_col: str = "TransactionDT", label_col: str = "isFraud",
                         watermark: str = "1 day", files_per_trigger: int = 8,
-                        timeout_s: int = 1800) -> DataFrame:
-    """Returns (day, window_start, n, positives) read back from the sink."""
+                        origin: int | None = None, timeout_s: int = 1800) -> DataFrame:
+    """Returns (day, window_start, n, positives) read back from the sink.
+
+    Days start at ``origin`` (default: the earliest staged time), like the day
+    index ``floor((dt - min dt) / 86400)``; ``day`` is that index.
+    """
     schema = spark.read.parquet(staged).schema
+    if origin is None:
+        origin = int(spark.read.parquet(staged).agg(F.min(time_col)).first()[0])
+    offset = int(origin) % SECONDS_PER_DAY
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", int(files_per_trigger)).parquet(staged)
            .withColumn("__ts", F.timestamp_seconds(F.col(time_col))))
     agg = (src.withWatermark("__ts", watermark)
-           .groupBy(F.window("__ts", "1 day").alias("w"))
+           .groupBy(F.window("__ts", "1 day", startTime=f"{offset} seconds").alias("w"))
            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label_col).cast("long")).alias("positives")))
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         rows = batch.select(
-            (F.unix_seconds(F.col("w.start")) / SECONDS_PER_DAY).cast("long").alias("day"),
+            F.floor((F.unix_seconds(F.col("w.start")) - F.lit(int(origin))) / SECONDS_PER_DAY)
+            .cast("long").alias("day"),
             F.col("w.start").alias("window_start"), "n", "positives")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("day").parquet(out)

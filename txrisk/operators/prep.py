@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txrisk.session import reliable_checkpoint
+
 # Fixed values from the reference: columns never imputed or used as features,
 # the literal used for missing categories, and the default offline period.
 EXCLUDE_COLS = ("TransactionID", "isFraud", "TransactionDT")
@@ -125,7 +127,7 @@ def encode_categories(df: DataFrame, declared=(), plain=(), suffix: str = "") ->
         return df
     # The vocabulary (bounded by column cardinalities) is built by one pass over
     # the table and stored once, instead of being re-derived for every column.
-    lookup = lookup.checkpoint(eager=True)
+    lookup = reliable_checkpoint(lookup)
     out = df
     for c in declared + plain:
         tmp = f"__code_{c}"

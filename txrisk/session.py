@@ -164,3 +164,10 @@ def ship_package(spark: SparkSession) -> None:
     write_bytes(spark, target, buf.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(app)
+
+
+def reliable_checkpoint(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
+    (never ``localCheckpoint``): survives lost executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

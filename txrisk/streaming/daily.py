@@ -16,7 +16,7 @@ from txrisk.functions.time import SECONDS_PER_DAY
 
 def stage_by_day(df: DataFrame, path: str, time_col: str = "TransactionDT") -> None:
     df.withColumn("__day", F.floor(F.col(time_col) / SECONDS_PER_DAY).cast("long")) \
-        .write.mode("overwrite").partitionBy("__day").parquet(path)
+        .sortWithinPartitions("__day").write.mode("overwrite").partitionBy("__day").parquet(path)
 
 
 def stream_daily_counts(spark: SparkSession, staged: str, out: str, checkpoint: str,

@@ -56,3 +56,16 @@ def test_split(spark):
     assert tr.count() == 56 and te.count() == 14
     prof = {r["side"]: r["rows"] for r in split_profile(df, 8).collect()}
     assert prof == {"train": 56, "test": 14}
+
+
+def test_vocabulary_split_into_ranges_matches_sorted_rank(spark):
+    from txrisk.operators.prep import category_lookup
+    import random
+    rnd = random.Random(4)
+    words = sorted({"".join(rnd.choice("abcxyzé") for _ in range(rnd.randint(1, 6))) for _ in range(400)}
+                   | {"abc"})
+    rows = [(w,) for w in words for _ in range(rnd.randint(1, 3))] + [("abc",)] * 200   # a frequent value
+    df = spark.createDataFrame(rows, "c string")
+    lk = category_lookup(df, plain=["c"], n_buckets=8, single_bucket_max=20)
+    got = {r["value"]: r["code"] for r in lk.collect() if r["value"] is not None}
+    assert got == {w: i for i, w in enumerate(words)}

@@ -82,7 +82,45 @@ def impute(df: DataFrame, exclude=EXCLUDE_COLS) -> DataFrame:
 
 
 # ------------------------------------------------------------------ P12
-def category_lookup(df: DataFrame, declared=(), plain=()) -> DataFrame:
+def _rank_vocabulary(vocab: DataFrame, n_buckets: int, single_bucket_max: int) -> DataFrame:
+    """(column, value, code): 0-based rank of each distinct value in its column.
+
+    Large vocabularies are split into value ranges: bounds are every 4th value
+    of a hash sample of the *distinct* values (uniform over values, so a
+    frequent value cannot skew it; about 4 x n_buckets values per column reach
+    the driver). Per-range counts give offsets, and values are ranked only
+    inside their (column, range).
+    """
+    sizes = {r["column"]: int(r["n"]) for r in
+             vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    big = {c: n for c, n in sizes.items() if n > single_bucket_max}
+    bounds: dict[str, list[str]] = {}
+    if big:
+        every = F.lit(1)
+        for c, n in big.items():
+            every = F.when(F.col("column") == F.lit(c), F.lit(max(1, n // (4 * n_buckets)))).otherwise(every)
+        sample = vocab.filter(F.col("column").isin(list(big)) &
+                              (F.pmod(F.xxhash64("value"), every.cast("long")) == 0)).collect()
+        for c in big:
+            vals = sorted(r["value"] for r in sample if r["column"] == c)
+            bounds[c] = vals[3::4]
+    b_arr = F.array().cast("array<string>")
+    for c, bs in bounds.items():
+        b_arr = F.when(F.col("column") == F.lit(c), F.array(*[F.lit(v) for v in bs])).otherwise(b_arr)
+    v = F.col("value")
+    bucketed = vocab.withColumn("__b", F.size(F.filter(b_arr, lambda x: x < v)))
+    counts = bucketed.groupBy("column", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    w_off = Window.partitionBy("column").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("column", "__b", F.coalesce(F.sum("__n").over(w_off), F.lit(0)).alias("__off"))
+    local = bucketed.withColumn("__r", F.row_number().over(
+        Window.partitionBy("column", "__b").orderBy("value")) - 1)
+    # offsets: at most n_buckets rows per column, a bounded broadcast.
+    return local.join(F.broadcast(offsets), ["column", "__b"], "inner").select(
+        "column", "value", (F.col("__off") + F.col("__r")).cast("int").alias("code"))
+
+
+def category_lookup(df: DataFrame, declared=(), plain=(), n_buckets: int = 256,
+                    single_bucket_max: int = 1_000_000) -> DataFrame:
     """Vocabulary table (column, value, code) for the given string columns.
 
     declared (typed as category at ingest): codes rank the distinct non-null
@@ -99,11 +137,10 @@ def category_lookup(df: DataFrame, declared=(), plain=()) -> DataFrame:
                  (F.col(f"`{c}`") if c in declared
                   else F.coalesce(F.col(f"`{c}`"), F.lit(MISSING))).alias("value"))
         for c in cols])).alias("s")).select("s.column", "s.value")
-    vocab = stacked.filter(F.col("value").isNotNull()).distinct()
-    # One column's vocabulary is ranked in one task; vocabularies are bounded by
-    # column cardinality, not by table size.
-    ranked = vocab.select("column", "value", (F.row_number().over(
-        Window.partitionBy("column").orderBy("value")) - 1).cast("int").alias("code"))
+    # Distinct (column, value) pairs, stored once: read again for sizing,
+    # sampling and ranking (bounded by the columns' cardinalities).
+    vocab = reliable_checkpoint(stacked.filter(F.col("value").isNotNull()).distinct())
+    ranked = _rank_vocabulary(vocab, n_buckets, single_bucket_max)
     stats = ranked.groupBy("column").agg(
         F.count(F.lit(1)).cast("int").alias("n"),
         F.max(F.when(F.col("value") == F.lit(MISSING), F.col("code"))).alias("missing_code"))

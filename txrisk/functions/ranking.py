@@ -6,10 +6,11 @@
   2. bucket id of every row = number of bounds strictly below the value
   3. per (group, bucket) row counts and min/max; a running sum over this small
      table gives each bucket's first rank
-  4. each target rank is mapped to its bucket; only rows of those buckets are
-     ranked, inside (group, bucket) partitions of about n / n_buckets rows. A
-     bucket whose min equals its max answers without ranking, so a value
-     repeated by a third of all rows is never sorted in one task.
+  4. each target rank is mapped to its bucket; a bucket whose min equals its
+     max answers without ranking (a value repeated by a third of all rows is
+     never sorted), a bucket of at most ``max_rows`` rows is ranked in its own
+     task, and a larger one is bucketed again (next level, ~n_buckets times
+     smaller) until it is small.
 
 Used by exact quantiles (describe, box statistics) and by hashed
 under-sampling. ``global_prefix_sum`` uses the same bucketing for running sums
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKETS = 256
 
@@ -40,36 +42,81 @@ def bucketize(df: DataFrame, group_cols, value_col: str, n_buckets: int = DEFAUL
 
 
 def values_at_ranks(df: DataFrame, group_cols, value_col: str, targets: DataFrame,
-                    n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    n_buckets: int = DEFAULT_BUCKETS, max_rows: int = 2_000_000) -> DataFrame:
     """(group_cols..., rank, value): the value with 0-based ``rank`` in ascending
-    order within its group, for every row of ``targets`` (group_cols..., rank)."""
+    order within its group, for every row of ``targets`` (group_cols..., rank).
+
+    Iterative refinement: each level buckets the rows of the open value ranges
+    (one per target group) and keeps, per target, only the bucket holding its
+    rank; a bucket with one distinct value answers at once, a bucket of at most
+    ``max_rows`` rows is ranked in its own task, a larger one becomes the next
+    level's range (about n_buckets times smaller). Only per-target bucket
+    statistics (bounded by targets x n_buckets) reach the driver.
+    """
+    spark = df.sparkSession
     group_cols = list(group_cols)
     drop_g = not group_cols
     if drop_g:
         df = df.withColumn("__g", F.lit(0))
         targets = targets.withColumn("__g", F.lit(0))
         group_cols = ["__g"]
-    data = bucketize(df.select(*group_cols, value_col).filter(F.col(value_col).isNotNull()),
-                     group_cols, value_col, n_buckets)
-    stats = data.groupBy(*group_cols, "__b").agg(
-        F.count(F.lit(1)).alias("__n"), F.min(value_col).alias("__min"),
-        F.max(value_col).alias("__max"))
-    # The per-bucket table has at most n_buckets rows per group.
-    w = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("__start", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    hit = targets.join(stats, on=group_cols, how="inner").filter(
-        (F.col("rank") >= F.col("__start")) & (F.col("rank") < F.col("__start") + F.col("__n")))
-    flat = hit.filter(F.col("__min") == F.col("__max")).select(
-        *group_cols, "rank", F.col("__min").alias("value"))
-    need = hit.filter(F.col("__min") < F.col("__max")).select(
-        *group_cols, "rank", "__b", (F.col("rank") - F.col("__start")).alias("__r"))
-    cand = data.join(need.select(*group_cols, "__b").distinct(), on=group_cols + ["__b"],
-                     how="left_semi")
-    ranked = cand.select(*group_cols, "__b", F.col(value_col).alias("value"), (F.row_number().over(
-        Window.partitionBy(*group_cols, "__b").orderBy(value_col)) - 1).alias("__r"))
-    exact = need.join(ranked, on=group_cols + ["__b", "__r"], how="inner") \
-        .select(*group_cols, "rank", "value")
-    out = flat.unionByName(exact)
+    vtype = df.schema[value_col].dataType
+    gtypes = [df.schema[g].dataType for g in group_cols]
+    data = df.select(*group_cols, F.col(value_col).alias("__v")).filter(F.col("__v").isNotNull())
+    # targets are few (a handful of ranks per group)
+    pend = [{"g": tuple(r[g] for g in group_cols), "rank": int(r["rank"]), "lo": None, "hi": None,
+             "start": 0} for r in targets.select(*group_cols, "rank").distinct().collect()]
+    answers = []
+    range_schema = T.StructType([T.StructField(g, t) for g, t in zip(group_cols, gtypes)] +
+                                [T.StructField("__rid", T.IntegerType()),
+                                 T.StructField("__lo", vtype), T.StructField("__hi", vtype)])
+    for _ in range(16):
+        if not pend:
+            break
+        keys = sorted({(t["g"], t["lo"], t["hi"]) for t in pend}, key=repr)
+        rid_of = {k: i for i, k in enumerate(keys)}
+        ranges = spark.createDataFrame([(*g, i, lo, hi) for (g, lo, hi), i in rid_of.items()], range_schema)
+        d = data.join(F.broadcast(ranges), group_cols, "inner").filter(
+            (F.col("__lo").isNull() | (F.col("__v") >= F.col("__lo"))) &
+            (F.col("__hi").isNull() | (F.col("__v") <= F.col("__hi")))).drop("__lo", "__hi")
+        part = group_cols + ["__rid"]
+        bucketed = bucketize(d, part, "__v", n_buckets)
+        stats = bucketed.groupBy(*part, "__b").agg(
+            F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+        w = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        rows = stats.withColumn("__start", F.coalesce(F.sum("__n").over(w), F.lit(0))).collect()
+        by_rid: dict[int, list] = {}
+        for r in rows:
+            by_rid.setdefault(int(r["__rid"]), []).append(r)
+        nxt, exact = [], []
+        for t in pend:
+            rid = rid_of[(t["g"], t["lo"], t["hi"])]
+            rel = t["rank"] - t["start"]
+            hit = next((r for r in by_rid.get(rid, []) if r["__start"] <= rel < r["__start"] + r["__n"]), None)
+            if hit is None:
+                continue  # rank beyond the group's size: no answer
+            if hit["__min"] == hit["__max"]:
+                answers.append((*t["g"], t["rank"], hit["__min"]))
+            elif hit["__n"] <= max_rows:
+                exact.append((rid, int(hit["__b"]), rel - int(hit["__start"]), t))
+            else:
+                nxt.append({"g": t["g"], "rank": t["rank"], "lo": hit["__min"], "hi": hit["__max"],
+                            "start": t["start"] + int(hit["__start"])})
+        if exact:
+            want = spark.createDataFrame([(rid, b, r) for rid, b, r, _ in exact],
+                                         "__rid int, __b int, __r long")
+            cand = bucketed.join(F.broadcast(want.select("__rid", "__b").distinct()), ["__rid", "__b"],
+                                 "left_semi")
+            ranked = cand.select("__rid", "__b", "__v", (F.row_number().over(
+                Window.partitionBy(*part, "__b").orderBy("__v")) - 1).alias("__r"))
+            got = {(int(r["__rid"]), int(r["__b"]), int(r["__r"])): r["__v"] for r in
+                   ranked.join(F.broadcast(want), ["__rid", "__b", "__r"], "inner").collect()}
+            for rid, b, r, t in exact:
+                answers.append((*t["g"], t["rank"], got[(rid, b, r)]))
+        pend = nxt
+    out_schema = T.StructType([T.StructField(g, t) for g, t in zip(group_cols, gtypes)] +
+                              [T.StructField("rank", T.LongType()), T.StructField("value", vtype)])
+    out = spark.createDataFrame(answers, out_schema)
     return out.drop("__g") if drop_g else out
 
 

@@ -151,22 +151,32 @@ def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
 
 
 def global_prefix_sum(df: DataFrame, order_col: str, sum_cols, descending: bool = False,
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = None, target_rows: int = 4_000_000) -> DataFrame:
     """Running sums of ``sum_cols`` over the whole table ordered by ``order_col``
     (ties share one running value: input should be one row per distinct order
     value). Adds ``cum_<c>`` (inclusive). No single-partition window: rows are
-    bucketed by approximate quantiles, bucket totals (≤ n_buckets rows) give
-    offsets, and each bucket is summed in its own partition."""
-    key = F.col(order_col)
+    cut into value ranges by approximate quantiles (about ``target_rows`` rows
+    each, at most 65536 ranges, assigned by a binary search in ``Bucketizer``),
+    range totals give offsets, and each range is summed in its own task."""
+    from pyspark.ml.feature import Bucketizer
+
+    key = F.col(order_col).cast("double")
     ordered = df.withColumn("__o", -key if descending else key)
-    data = bucketize(ordered, [], "__o", n_buckets)
+    if n_buckets is None:
+        n = ordered.count()
+        n_buckets = int(min(1 << 16, max(DEFAULT_BUCKETS, -(-n // max(1, target_rows)))))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = ordered.select(F.percentile_approx("__o", probs, 10 * n_buckets)).first()[0] or []
+    splits = [float("-inf")] + sorted({float(b) for b in bounds}) + [float("inf")]
+    data = Bucketizer(splits=splits, inputCol="__o", outputCol="__bd", handleInvalid="keep") \
+        .transform(ordered).withColumn("__b", F.col("__bd").cast("int")).drop("__bd")
     totals = data.groupBy("__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
+    # at most n_buckets rows: one small window and a size-bounded broadcast
     wt = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__b", *[F.coalesce(F.sum(f"__t_{c}").over(wt), F.lit(0)).alias(f"__off_{c}")
                                      for c in sum_cols])
     wl = Window.partitionBy("__b").orderBy("__o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = data.select("*", *[F.sum(c).over(wl).alias(f"__loc_{c}") for c in sum_cols])
-    # offsets has at most n_buckets rows: a size-bounded broadcast.
     out = local.join(F.broadcast(offsets), on="__b", how="inner")
     return out.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"cum_{c}")
                                      for c in sum_cols])

@@ -35,20 +35,27 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", max(8, 2 * cpus), app_name="txrisk-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "8g")})
     runs = int(os.environ.get("BENCH_RUNS", "2"))
-    cold, warm = {}, {}
+    cold, warm, errors = {}, {}, {}
     for name in names:
-        for r in range(max(1, runs)):
-            t0 = time.time()
-            df = QUERIES[name](spark, sf_dir)
-            df.write.format("noop").mode("overwrite").save()
-            dt = round(time.time() - t0, 3)
-            (cold if r == 0 else warm)[name] = dt
-        warm.setdefault(name, cold[name])
-        print(f"# {name}: cold {cold[name]}s warm {warm[name]}s", file=sys.stderr)
+        try:
+            for r in range(max(1, runs)):
+                t0 = time.time()
+                df = QUERIES[name](spark, sf_dir)
+                df.write.format("noop").mode("overwrite").save()
+                dt = round(time.time() - t0, 3)
+                (cold if r == 0 else warm)[name] = dt
+            warm.setdefault(name, cold[name])
+            print(f"# {name}: cold {cold[name]}s warm {warm[name]}s", file=sys.stderr)
+        except Exception as e:  # noqa: BLE001 - report and keep benchmarking the rest
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
+            cold.pop(name, None)
+            warm.pop(name, None)
+            print(f"# {name}: FAILED {errors[name]}", file=sys.stderr)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds_warm", "value": round(sum(warm.values()), 3),
                       "unit": "sec", "queries": warm, "queries_cold": cold,
-                      "total_cold": round(sum(cold.values()), 3), "sf": sf, "cpus": cpus}))
+                      "total_cold": round(sum(cold.values()), 3), "errors": errors,
+                      "sf": sf, "cpus": cpus}))
     spark.stop()
 
 

@@ -52,4 +52,5 @@ def stream_daily_counts(spark: SparkSession, staged: str, out: str, checkpoint:
     if q.isActive:
         q.stop()
         raise TimeoutError("daily stream did not finish")
-    return spark.read.parquet(out)
+    # partition discovery infers int for the day column; keep the written type
+    return spark.read.parquet(out).withColumn("day", F.col("day").cast("long"))

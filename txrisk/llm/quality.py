@@ -21,7 +21,7 @@ from txrisk.llm.common import once, text_of, words_of, written
 BUCKETS = 65536
 TRUSTED_ROWS = 50_000
 SMOOTHING = 1.0
-THRESHOLD = -0.35    # nats per n-gram
+THRESHOLD = -0.15    # nats per n-gram
 MIN_WORDS = 50
 
 

@@ -191,9 +191,13 @@ def _first_docs(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return keys[new], docs[new]
 
 
-def _texts(table: pa.Table) -> tuple[list[bytes], np.ndarray]:
+def _texts(table: pa.Table) -> tuple[list[bytes], np.ndarray, list[int]]:
+    """Texts, ids and row numbers of a chunk in the order of (id, text): each round reads
+    the exchange anew, and its row order may differ."""
     ids = table.column("_id").to_numpy(zero_copy_only=False).astype(np.int64)
-    return [t.encode("utf-8", "replace") for t in table.column("text").to_pylist()], ids
+    texts = [t.encode("utf-8", "replace") for t in table.column("text").to_pylist()]
+    order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))
+    return [texts[i] for i in order], ids[order], order
 
 
 def _column(table: pa.Table, name: str) -> list:
@@ -204,7 +208,7 @@ def _column(table: pa.Table, name: str) -> list:
 def send_anchors(parts: int):
     """(a: anchors, b: those of them in several documents of the chunk)."""
     def run(table: pa.Table) -> pa.Table:
-        texts, ids = _texts(table)
+        texts, ids, _ = _texts(table)
         z = Zones(texts, refine=False)
         anchor, doc = z.anchor, ids[z.text]
         order = np.argsort(anchor, kind="stable")
@@ -242,7 +246,7 @@ def send_zones(parts: int):
         if not left.num_rows or not right.num_rows:
             return _rows([])
         chunk = _column(left, "chunk")[0]
-        texts, ids = _texts(left)
+        texts, ids, _ = _texts(left)
         shared = np.sort(np.concatenate([_wide(x) for x in _column(right, "a")]))
         z = Zones(texts, refine=True)
         on = shared[np.minimum(np.searchsorted(shared, z.anchor), len(shared) - 1)] == z.anchor
@@ -303,7 +307,7 @@ def send_strings(parts: int):
         if not left.num_rows or not right.num_rows:
             return _rows([])
         chunk = _column(left, "chunk")[0]
-        texts, ids = _texts(left)
+        texts, ids, _ = _texts(left)
         own, keys, docs, many = [], [], [], []
         for p, a, b, c in zip(*[_column(right, n) for n in ("part", "a", "b", "c")]):
             if p >= parts:
@@ -349,7 +353,7 @@ def remove(parts: int, schema: pa.Schema):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
-        texts, ids = _texts(left)
+        texts, ids, order_of_rows = _texts(left)
         runs = [np.empty((3, 0), np.int64)]
         open_zones, keys, docs = np.empty((3, 0), np.int32), [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for p, a, b in zip(*[_column(right, n) for n in ("part", "a", "b")]):
@@ -380,7 +384,7 @@ def remove(parts: int, schema: pa.Schema):
             raw = texts[t]
             kept[t] = b"".join(raw[i:j] for i, j in zip([0, *e.tolist()], [*s.tolist(), len(raw)]))
             spans[t] = [{"start": i, "end": j} for i, j in zip(s.tolist(), e.tolist())]
-        return pa.table([left.column("doc_id"), pa.array(list(map(len, texts)), pa.int64()),
+        return pa.table([left.column("doc_id").take(pa.array(order_of_rows)), pa.array(list(map(len, texts)), pa.int64()),
                          pa.array(out["n_removed"]), pa.array(out["n_spans"]),
                          pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
                          pa.array(spans, schema.field("spans").type)], schema=schema)

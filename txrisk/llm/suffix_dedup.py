@@ -28,6 +28,7 @@ rounds read the same exchange. Sorting happens inside tasks over a part of the k
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -166,6 +167,39 @@ def _docs(data: bytes) -> np.ndarray:
     return own[np.frombuffer(data, np.uint16 if n < 65536 else np.uint32, -1, 8 + 8 * n)]
 
 
+def _pack_ints(x: np.ndarray) -> bytes:
+    """int32 values by byte planes, deflated."""
+    return zlib.compress(x.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _ints(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<i4").astype(np.int64)
+
+
+def _pack_places(place: np.ndarray) -> bytes:
+    """(text, first, last) as differences: small numbers where the rows are in order."""
+    text, first, last = place
+    return _pack_ints(np.concatenate((np.diff(text, prepend=0), np.diff(first, prepend=0), last - first)))
+
+
+def _places(data: bytes) -> np.ndarray:
+    text, first, size = _ints(data).reshape(3, -1)
+    first = np.cumsum(first)
+    return np.stack((np.cumsum(text), first, first + size))
+
+
+def _merged(place: np.ndarray) -> np.ndarray:
+    """Zones in order, those that follow each other as one."""
+    text, first, last = place[:, np.lexsort((place[1], place[0]))]
+    if not len(text):
+        return place
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (first[1:] > last[:-1] + 1)
+    at = np.flatnonzero(new)
+    return np.stack((text[at], first[at], np.maximum.reduceat(last, at)))
+
+
 def _cut(part: np.ndarray):
     """(part, rows) for each part."""
     order = np.argsort(part, kind="stable")
@@ -240,8 +274,9 @@ def shared_anchors(table: pa.Table) -> pa.Table:
 
 def send_zones(parts: int):
     """Distinct zones by part of their anchor (a: anchors, b: identifiers, c: least
-    documents), and the chunk's own list of zones, which goes by the chunk (part
-    ``parts`` + chunk; a: text, first, last as int32, b: identifiers)."""
+    documents), and the chunk's own state, which goes by the chunk (part ``parts`` +
+    chunk; a: zones of those least documents, b: their numbers in the order sent, c:
+    zones covered already, as the chunk has a smaller document with them)."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _rows([])
@@ -251,46 +286,48 @@ def send_zones(parts: int):
         z = Zones(texts, refine=True)
         on = shared[np.minimum(np.searchsorted(shared, z.anchor), len(shared) - 1)] == z.anchor
         anchor, ident, doc = z.anchor[on], z.ident[on], ids[z.text[on]]
-        place = np.stack((z.text[on], z.first[on], z.last[on])).astype(np.int32)
+        place = np.stack((z.text[on], z.first[on], z.last[on]))
         order = np.lexsort((doc, ident, anchor))
-        new = order[_starts(anchor[order], ident[order])]
-        rows = [(p, chunk, _short(anchor[new[i]]), ident[new[i]].tobytes(), _pack_docs(doc[new[i]]))
-                for p, i in _cut((anchor[new] % np.uint64(parts)).astype(np.int64))]
-        return _rows([*rows, (parts + chunk, chunk, place.tobytes(), ident.tobytes(), b"")])
+        starts = _starts(anchor[order], ident[order])
+        new = order[starts]
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(starts) - 1
+        rows, number, sent = [], np.empty(len(new), np.int64), 0
+        for p, i in _cut((anchor[new] % np.uint64(parts)).astype(np.int64)):
+            rows.append((p, chunk, _short(anchor[new[i]]), ident[new[i]].tobytes(), _pack_docs(doc[new[i]])))
+            number[i] = np.arange(sent, sent + len(i))
+            sent += len(i)
+        least = doc == doc[new][group]
+        return _rows([*rows, (parts + chunk, chunk, _pack_places(place[:, least]), _pack_ints(number[group[least]]),
+                              _pack_places(_merged(place[:, ~least])))])
     return run
 
 
 def resolve_zones(parts: int):
-    """Replies per chunk (a: identifiers, b: least documents, c: whether the anchor has
-    other zones); a chunk's own rows pass."""
+    """Replies per chunk (a: for each zone in the order sent, 1 if a smaller document
+    has it, 2 if its anchor has other zones); a chunk's state passes."""
     def run(table: pa.Table) -> pa.Table:
-        if _column(table, "part")[0] >= parts:
+        part = _column(table, "part")[0]
+        if part >= parts:
             return table.select(ROW.names).cast(ROW)
-        anchors = [_wide(x) for x in _column(table, "a")]
         idents = [np.frombuffer(x, np.uint64) for x in _column(table, "b")]
-        docs = [_docs(x) for x in _column(table, "c")]
-        anchor, ident, doc = map(np.concatenate, (anchors, idents, docs))
+        anchor = np.concatenate([_wide(x) for x in _column(table, "a")])
+        ident, doc = np.concatenate(idents), np.concatenate([_docs(x) for x in _column(table, "c")])
         order = np.lexsort((doc, ident, anchor))
         anchor, ident, doc = anchor[order], ident[order], doc[order]
         new = _starts(anchor, ident)
-        first = np.flatnonzero(new)
         of_anchor = np.cumsum(_starts(anchor)) - 1
-        many = np.bincount(of_anchor[first])[of_anchor] > 1
-        group = np.cumsum(new) - 1
-        back_doc, back_many = np.empty_like(doc), np.empty(len(doc), bool)
-        back_doc[order], back_many[order] = doc[first][group], many
-        out, at = [], 0
-        for chunk, keys in zip(_column(table, "chunk"), idents):
-            to = at + len(keys)
-            out.append((-1, chunk, keys.tobytes(), _pack_docs(back_doc[at:to]), back_many[at:to].tobytes()))
-            at = to
-        return _rows(out)
+        many = np.bincount(of_anchor[new])[of_anchor] > 1
+        status = np.empty(len(doc), np.uint8)
+        status[order] = (doc > doc[new][np.cumsum(new) - 1]) + 2 * many
+        cuts = np.cumsum([len(x) for x in idents])[:-1]
+        return _rows([(part, c, x.tobytes(), b"", b"") for c, x in zip(_column(table, "chunk"), np.split(status, cuts))])
     return run
 
 
 def _open_strings(texts: list[bytes], place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """50-byte buckets, text and start of every string of some zones."""
-    text, first, last = place.astype(np.int64)
+    text, first, last = place
     ends = last + LENGTH
     x = np.frombuffer(b"".join([texts[t][a:b] for t, a, b in zip(text.tolist(), first.tolist(), ends.tolist())]), np.uint8)
     if not len(x):
@@ -302,28 +339,21 @@ def _open_strings(texts: list[bytes], place: np.ndarray) -> tuple[np.ndarray, np
 
 def send_strings(parts: int):
     """50-byte buckets of the zones still open (a: buckets, b: least documents) by
-    part, and the chunk's state (a: open zones, b: covered zones, as text, first, last)."""
+    part, and the chunk's state (a: open zones, c: covered ones)."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _rows([])
         chunk = _column(left, "chunk")[0]
         texts, ids, _ = _texts(left)
-        own, keys, docs, many = [], [], [], []
-        for p, a, b, c in zip(*[_column(right, n) for n in ("part", "a", "b", "c")]):
-            if p >= parts:
-                own.append((np.frombuffer(a, np.int32).reshape(3, -1), np.frombuffer(b, np.uint64)))
-            else:
-                keys.append(np.frombuffer(a, np.uint64))
-                docs.append(_docs(b))
-                many.append(np.frombuffer(c, bool))
-        place, ident = own[0]
-        keys, docs, many = map(np.concatenate, (keys, docs, many))
-        order = np.argsort(keys)
-        at = order[np.searchsorted(keys[order], ident)]
-        covered = docs[at] < ids[place[0]]
-        still = many[at] & ~covered
-        state = (parts + chunk, chunk, place[:, still].tobytes(), place[:, covered].tobytes(), b"")
-        bucket, text, _ = _open_strings(texts, place[:, still])
+        replies = sorted(zip(*[_column(right, n) for n in ("part", "a", "b", "c")]))
+        _, places, numbers, covered = replies.pop()  # the state has the highest part
+        status = np.concatenate([np.frombuffer(x, np.uint8) for _, x, _, _ in replies])[_ints(numbers)]
+        place = _places(places)
+        smaller = (status & 1) > 0
+        still = place[:, ~smaller & (status > 1)]
+        covered = _merged(np.concatenate((_places(covered), place[:, smaller]), axis=1))
+        state = (parts + chunk, chunk, _pack_places(still), b"", _pack_places(covered))
+        bucket, text, _ = _open_strings(texts, still)
         bucket, doc = _first_docs(bucket, ids[text])
         return _rows([state, *[(p, chunk, bucket[i].tobytes(), _pack_docs(doc[i]), b"") for p, i in _cut(
             ((bucket >> np.uint64(20)) % np.uint64(parts)).astype(np.int64))]])
@@ -355,11 +385,11 @@ def remove(parts: int, schema: pa.Schema):
             return schema.empty_table()
         texts, ids, order_of_rows = _texts(left)
         runs = [np.empty((3, 0), np.int64)]
-        open_zones, keys, docs = np.empty((3, 0), np.int32), [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for p, a, b in zip(*[_column(right, n) for n in ("part", "a", "b")]):
+        open_zones, keys, docs = np.empty((3, 0), np.int64), [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for p, a, b, c in zip(*[_column(right, n) for n in ("part", "a", "b", "c")]):
             if p >= parts:
-                open_zones = np.frombuffer(a, np.int32).reshape(3, -1)
-                runs.append(np.frombuffer(b, np.int32).reshape(3, -1).astype(np.int64))
+                open_zones = _places(a)
+                runs.append(_places(c))
             else:
                 keys.append(np.frombuffer(a, np.uint64))
                 docs.append(_docs(b))

@@ -27,6 +27,7 @@ The chunks' texts are shuffled once: both steps that need them read the same exc
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -178,6 +179,21 @@ def _word_keys(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words)).view(np.int64)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Values by byte planes, deflated; int64 ones as differences (small if sorted)."""
+    if values.dtype == np.int64:
+        values = np.diff(values, prepend=np.int64(0))
+    return zlib.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def _load(data: bytes, dtype=np.int64) -> np.ndarray:
+    if not data:
+        return np.empty(0, dtype)
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    values = np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+    return np.cumsum(values) if dtype == np.int64 else values
+
+
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     cols = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.table([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
@@ -219,8 +235,9 @@ def emit(parts: int, depth: int):
         ends = len(texts) - int(held.sum())  # the end token has the key 0 and counts once a text
         keys = np.concatenate((_word_keys(list(index)), [0])).astype(np.int64)
         index.clear()
-        rows = [(p, chunk, k.tobytes(), v.tobytes()) for p, k, v in _split(
-            keys, np.concatenate((counts, [ends])).astype(np.int64), _part(keys, parts))]
+        order = np.argsort(keys)
+        keys, counts = keys[order], np.concatenate((counts, [ends])).astype(np.int32)[order]
+        rows = [(p, chunk, _pack(k), _pack(v)) for p, k, v in _split(keys, counts, _part(keys, parts))]
         grams = {}
         for h in (False, True):
             mine = [t for t, x in zip(texts, held) if bool(x) == h]
@@ -229,17 +246,18 @@ def emit(parts: int, depth: int):
             c = np.concatenate([n for _, n in got] + [np.empty(0, np.int64)])
             grams[h] = k, c * (not h)
         k, c = _sum_by(*[np.concatenate((grams[False][i], grams[True][i])) for i in (0, 1)])
-        rows += [(parts + p, chunk, g.tobytes(), v.astype(np.int64).tobytes()) for p, g, v in _split(k, c, _part(k, parts))]
+        rows += [(parts + p, chunk, _pack(g), _pack(v.astype(np.int32))) for p, g, v in _split(k, c, _part(k, parts))]
         return _table(rows, PACKED)
     return run
 
 
 def _unpack(table: pa.Table, column: str, dtype=np.int64) -> list[np.ndarray]:
-    return [np.frombuffer(x, dtype) for x in table.column(column).to_pylist()]
+    return [_load(x, dtype) for x in table.column(column).to_pylist()]
 
 
-def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return _sum_by(np.concatenate(_unpack(table, "keys")), np.concatenate(_unpack(table, "vals")))
+def _totals(table: pa.Table, dtype=np.int32) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their counts: int32 from chunks, float64 from sums of chunks."""
+    return _sum_by(np.concatenate(_unpack(table, "keys")), np.concatenate(_unpack(table, "vals", dtype)).astype(np.int64))
 
 
 SUMS = pa.schema([("tree", pa.int64()), ("n", pa.int64()), ("distinct", pa.int64()), ("keys", pa.binary()), ("vals", pa.binary())])
@@ -254,8 +272,8 @@ def add_up(parts: int, depth: int):
         if table.column("part")[0].as_py() < parts:
             return _table([(-1, int(n.sum()), int((n > 0).sum()), b"", b"")], SUMS)
         last, before = keys >> (8 * depth), (keys >> (8 * (depth - 1))) & 255
-        return _table([(t, 0, 0, k.tobytes(), v.tobytes()) for t, k, v in _split(
-            keys, n, last * SUBTREES + before % SUBTREES)], SUMS)
+        return _table([(t, 0, 0, _pack(k), _pack(v)) for t, k, v in _split(
+            keys, n.astype(np.float64), last * SUBTREES + before % SUBTREES)], SUMS)
     return run
 
 
@@ -266,7 +284,7 @@ TOP_DDL = "last long, j long, n0 double, n1 double, lp double"
 def tree_top(depth: int):
     def run(table: pa.Table) -> pa.Table:
         tree = table.column("tree")[0].as_py()
-        n0, n1, lp = Tree(*_totals(table), depth).top()
+        n0, n1, lp = Tree(*_totals(table, np.float64), depth).top()
         return _table([(tree // SUBTREES, int(j), n0[j], n1[j], lp[j]) for j in np.flatnonzero(n0 + n1)], TOP)
     return run
 
@@ -295,11 +313,11 @@ def probabilities(parts: int, depth: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _table([], PACKED)
-        grams, n = _totals(left)
+        grams, n = _totals(left, np.float64)
         one = _decisions(right.column("nodes")[0].as_py() if right.num_rows else None)
         root = _decisions(right.column("root")[0].as_py() if right.num_rows else None)
         p = Tree(grams, n, depth).log10_prob(grams, one[:3], root[:3])
-        return _table([(parts + q, -1, k.tobytes(), v.tobytes()) for q, k, v in _split(grams, p, _part(grams, parts))], PACKED)
+        return _table([(parts + q, -1, _pack(k), _pack(v)) for q, k, v in _split(grams, p, _part(grams, parts))], PACKED)
     return run
 
 
@@ -318,7 +336,7 @@ def answer(parts: int):
             order = np.argsort(keys)
             keys, vals = keys[order], vals[order]
         vals = vals.astype(np.float64 if part < parts else np.float32)
-        return _table([(part, c, k.tobytes(), vals[np.searchsorted(keys, k)].tobytes()) for c, k in zip(
+        return _table([(part, c, _pack(k), _pack(vals[np.searchsorted(keys, k)])) for c, k in zip(
             left.column("chunk").to_pylist(), _unpack(left, "keys"))], PACKED)
     return run
 
@@ -354,8 +372,8 @@ def score_chunk(parts: int, depth: int, names: list[str], schema: pa.Schema):
         n_train, n_distinct = (int(right.column(c)[0].as_py() or 0) for c in ("train_tokens", "train_distinct"))
 
         def lookup(mine, dtype):
-            return _Lookup(np.concatenate([np.frombuffer(keys[i], np.int64) for i in mine]),
-                           np.concatenate([np.frombuffer(vals[i], dtype) for i in mine]))
+            return _Lookup(np.concatenate([_load(keys[i]) for i in mine]),
+                           np.concatenate([_load(vals[i], dtype) for i in mine]))
 
         words, grams = lookup(np.flatnonzero(part < parts), np.float64), lookup(np.flatnonzero(part >= parts), np.float32)
         keys.clear()

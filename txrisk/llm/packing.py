@@ -16,6 +16,8 @@ salted, so one length may hold any share of the documents.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +36,8 @@ LENGTH = 2048
 GRAIN = 4
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000    # words a task remembers, and letter or punctuation runs
+CACHE_PIECES = 800_000
 MAX_PIVOTS = 4_000   # what rounding does not cover is fitted in any case
 GAP = 5e-4           # relative gap to a lower bound at which pricing ends
 BLEND = 0.05         # share of the duals in the stabilised prices
@@ -45,35 +48,69 @@ GOOD_FILL = 0.985    # leftover sequences filled less are recut
 class WordIds:
     """Ids of white-space separated words, computed once per distinct word. The
     tokenizer drops white space and never joins across it, so a text's ids are those
-    of its words in order."""
+    of its words in order. It also lowers case and splits letters from punctuation: a
+    word of plain letters and closing punctuation is put together from these two."""
+
+    PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,!?;:%&*$#|]*)\Z")
 
     def __init__(self, name: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(public_tokenizers.path(name))
+        self.pieces: dict[str, bytes] = {"": b""}
         self.clear()
 
     def clear(self):
         self.at: dict[bytes, int] = {}
-        self.flat = np.empty(0, np.uint32)
+        self.flat = np.empty(0, "<u4")
         self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def _fill(self, letters: list[str], others: list[str]):
+        """Ids of new pieces: runs of letters, one pre-token each, go in long lines."""
+        for i in range(0, len(letters), 1024):
+            part = letters[i:i + 1024]
+            e = self.tok.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            cuts = np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1)).tolist()
+            for w, x, y in zip(part, cuts, cuts[1:]):
+                self.pieces[w] = ids[x:y].tobytes()
+        for w, e in zip(others, self.tok.encode_batch(others, add_special_tokens=False)):
+            self.pieces[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn(self, new: list[bytes]):
+        if len(self.pieces) > CACHE_PIECES:
+            self.pieces = {"": b""}
+        parts = []
+        for w in new:
+            t = w.decode()
+            m = self.PLAIN.match(t.lower())
+            parts.append((m[1], m[2]) if m else (t, ""))
+        known = self.pieces
+        plain = {a for (a, _), w in zip(parts, new) if a not in known and self.PLAIN.match(a)}
+        other = {x for p in parts for x in p if x not in known} - plain
+        self._fill(list(plain), list(other))
+        ids = [known[a] + known[b] for a, b in parts]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
+        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(ids), "<u4")))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.encode("utf-8", "replace").split() for t in texts]
         if len(self.at) > CACHE_WORDS:
             self.clear()
-        new = [w for w in dict.fromkeys(w for ws in split for w in ws) if w not in self.at]
+        get = self.at.get
+        numbers = [[get(w, -1) for w in ws] for ws in split]
+        new = list(dict.fromkeys(w for ws, ks in zip(split, numbers) if -1 in ks for w, k in zip(ws, ks) if k < 0))
         if new:
-            ids = [e.ids for e in self.tok.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-            self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
-            self.size = np.concatenate((self.size, size))
-            self.flat = np.concatenate((self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))))
+            self._learn(new)
+            numbers = [[get(w) for w in ws] if -1 in ks else ks for ws, ks in zip(split, numbers)]
         out = []
-        for ws in split:
-            k = np.fromiter(map(self.at.__getitem__, ws), np.int64, len(ws))
+        for ks in numbers:
+            k = np.array(ks, np.int64)
             size = self.size[k]
             ends = np.cumsum(size)
             total = int(ends[-1]) if len(ends) else 0

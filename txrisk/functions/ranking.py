@@ -3,7 +3,7 @@
 ``values_at_ranks`` finds the values at given 0-based ranks inside each group:
 
   1. approximate per-group bucket bounds (``percentile_approx``, bounded memory)
-  2. bucket id of every row = number of bounds strictly below the value
+  2. bucket id of every row: 2n + 1 buckets, the n bounds and the ranges between them
   3. per (group, bucket) row counts and min/max; a running sum over this small
      table gives each bucket's first rank
   4. each target rank is mapped to its bucket; a bucket whose min equals its
@@ -38,7 +38,9 @@ def bucketize(df: DataFrame, group_cols, value_col: str, n_buckets: int = DEFAUL
     j = df.join(b, on=list(group_cols), how="inner") if group_cols else \
         df.withColumn("__bounds", b.select("__bounds").scalar())
     v = F.col(value_col)
-    return j.withColumn("__b", F.size(F.filter("__bounds", lambda x: x < v))).drop("__bounds")
+    # A bound has a bucket of its own, so a frequent value never shares one with others.
+    return j.withColumn("__b", F.size(F.filter("__bounds", lambda x: x < v)) +
+                        F.size(F.filter("__bounds", lambda x: x <= v))).drop("__bounds")
 
 
 def values_at_ranks(df: DataFrame, group_cols, value_col: str, targets: DataFrame,
@@ -70,9 +72,7 @@ def values_at_ranks(df: DataFrame, group_cols, value_col: str, targets: DataFram
     range_schema = T.StructType([T.StructField(g, t) for g, t in zip(group_cols, gtypes)] +
                                 [T.StructField("__rid", T.IntegerType()),
                                  T.StructField("__lo", vtype), T.StructField("__hi", vtype)])
-    for _ in range(16):
-        if not pend:
-            break
+    while pend:  # each level splits an open range at one of its own values at least
         keys = sorted({(t["g"], t["lo"], t["hi"]) for t in pend}, key=repr)
         rid_of = {k: i for i, k in enumerate(keys)}
         ranges = spark.createDataFrame([(*g, i, lo, hi) for (g, lo, hi), i in rid_of.items()], range_schema)
@@ -94,6 +94,8 @@ def values_at_ranks(df: DataFrame, group_cols, value_col: str, targets: DataFram
             rel = t["rank"] - t["start"]
             hit = next((r for r in by_rid.get(rid, []) if r["__start"] <= rel < r["__start"] + r["__n"]), None)
             if hit is None:
+                if t["lo"] is not None or t["hi"] is not None:
+                    raise RuntimeError(f"rank {t['rank']} of group {t['g']} was lost while refining")
                 continue  # rank beyond the group's size: no answer
             if hit["__min"] == hit["__max"]:
                 answers.append((*t["g"], t["rank"], hit["__min"]))
@@ -175,7 +177,10 @@ def global_prefix_sum(df: DataFrame, order_col: str, sum_cols, descending: bool
     wt = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__b", *[F.coalesce(F.sum(f"__t_{c}").over(wt), F.lit(0)).alias(f"__off_{c}")
                                      for c in sum_cols])
-    wl = Window.partitionBy("__b").orderBy("__o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Ranges follow the double, rows inside them the column itself: ids above 2^53 keep
+    # their order.
+    own = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    wl = Window.partitionBy("__b").orderBy(own).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = data.select("*", *[F.sum(c).over(wl).alias(f"__loc_{c}") for c in sum_cols])
     out = local.join(F.broadcast(offsets), on="__b", how="inner")
     return out.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"cum_{c}")

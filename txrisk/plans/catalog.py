@@ -298,7 +298,7 @@ def q_drift_scan(spark, sf):
 
 
 def _model_scores(spark, sf, model_type):
-    prepared = tb.tx_prepared(spark, sf)
+    prepared = tb.tx_model_input(spark, sf)
     train, test = prep.split_train_test(prepared, offline_weeks=2)
     model, _ = md.train_model(train, model_type, use_sampling=False)
     return round_doubles(md.predict_model(model, test))
@@ -346,7 +346,7 @@ from txrisk.streaming.prequential import PrequentialJob, RuleLearner  # noqa: E4
 @query("stream_daily_counts")
 def q_stream_daily(spark, sf):
     root = shared_path(spark, "daily_stream", unique=True)
-    sdaily.stage_by_day(tb.tx_transactions(spark, sf), f"{root}/data")
+    sdaily.stage_by_day(tb.tx_transactions(spark, sf).repartition(16), f"{root}/data")
     out = sdaily.stream_daily_counts(spark, f"{root}/data", f"{root}/out", f"{root}/_checkpoint")
     return out.select("day", "n", "positives")
 
@@ -382,21 +382,21 @@ from txrisk.plans import experiments as ex  # noqa: E402
 
 @query("static_experiment")
 def q_static_experiment(spark, sf):
-    data = tb.tx_prepared(spark, sf)
+    data = tb.tx_model_input(spark, sf)
     store = FeatureStore(spark, root=shared_path(spark, "features_static", unique=True))
     res = ex.run_grid(spark, data, ["baseline", "e1", "e6"], mode="static", model_type="rf",
                       sampling_type="undersample", offline_weeks=2, store=store)
-    return ex.results_table(res, "static")
+    return ex.results_table(ex.require_ok(res), "static")
 
 
 @query("incremental_experiment")
 def q_incremental_experiment(spark, sf):
-    data = tb.tx_prepared(spark, sf)
+    data = tb.tx_model_input(spark, sf)
     root = shared_path(spark, "incremental_query", unique=True)
     res = ex.run_grid(spark, data, ["e1"], mode="incremental", root=root, model_type="rf",
                       sampling_type="undersample", offline_weeks=2, batch_days=7, window_size=2,
                       store=FeatureStore(spark, root=f"{root}/features"))
-    return ex.results_table(res, "incremental")
+    return ex.results_table(ex.require_ok(res), "incremental")
 
 
 @query("training_window_union")

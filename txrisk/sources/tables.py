@@ -109,6 +109,13 @@ def tx_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tx_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5 over ``tx``: time features -> impute -> category codes."""
     from txrisk.functions.time import add_time_features
-    from txrisk.operators.prep import encode_categories, impute
+    from txrisk.operators.prep import EXCLUDE_COLS, encode_categories, impute
     d = add_time_features(tx_transactions(spark, sf_dir))
-    return encode_categories(impute(d), declared=["ProductCD"])
+    declared = ["ProductCD"]  # stays null through imputation, so that null is coded last
+    return encode_categories(impute(d, exclude=(*EXCLUDE_COLS, *declared)), declared=declared)
+
+
+def tx_model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tx_prepared`` without ProductCD: the label is derived from the same event
+    type, so that column would give it away."""
+    return tx_prepared(spark, sf_dir).drop("ProductCD")

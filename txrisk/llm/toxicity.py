@@ -39,7 +39,7 @@ MAX_STEMS = 100_000
 CUT = 0.3
 STEMS = (3, 4, 5, 6)
 STEM_BITS = 24
-CACHE = 400_000
+CACHE = 100_000      # readings a task remembers
 HIT = 1.5
 
 #: Letters a symbol may stand for (fixed values).
@@ -333,6 +333,8 @@ def add_scores(docs: DataFrame, model: ToxicityModel, name: str = "score") -> Da
         for b in batches:
             scores = [m.score(t or "") for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], [*b.schema.names, name])
+        m.restorer = None  # the worker lives on, its memory is the next task's
+        m.value.clear()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 

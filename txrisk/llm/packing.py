@@ -36,8 +36,8 @@ LENGTH = 2048
 GRAIN = 4
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_WORDS = 100_000    # words a task remembers, and letter or punctuation runs
-CACHE_PIECES = 400_000
+CACHE_WORDS = 200_000    # words a task remembers, and letter or punctuation runs
+CACHE_PIECES = 700_000
 MAX_PIVOTS = 4_000   # what rounding does not cover is fitted in any case
 GAP = 5e-4           # relative gap to a lower bound at which pricing ends
 BLEND = 0.05         # share of the duals in the stabilised prices

@@ -36,8 +36,7 @@ LENGTH = 2048
 GRAIN = 4
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_WORDS = 200_000    # words a task remembers, and letter or punctuation runs
-CACHE_PIECES = 700_000
+CACHE_PIECES = 700_000   # pieces a task remembers
 MAX_PIVOTS = 4_000   # what rounding does not cover is fitted in any case
 GAP = 5e-4           # relative gap to a lower bound at which pricing ends
 BLEND = 0.05         # share of the duals in the stabilised prices
@@ -45,72 +44,94 @@ GOOD_FILL = 0.985    # leftover sequences filled less are recut
 
 
 # ---------------------------------------------------------------- tokens
-class WordIds:
-    """Ids of white-space separated words, computed once per distinct word. The
-    tokenizer drops white space and never joins across it, so a text's ids are those
-    of its words in order. It also lowers case and splits letters from punctuation: a
-    word of plain letters and closing punctuation is put together from these two."""
+class _Numbers(dict):
+    """Numbers keys as they come; ``new`` lists those not yet looked up."""
 
-    PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,!?;:%&*$#|]*)\Z")
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
+class PieceIds:
+    """Ids of texts, the tokenizer run once per distinct piece. The tokenizer lower-cases,
+    cuts a text into the pieces of ``PIECE`` and drops white space, so a text's ids are
+    those of its pieces in order. A word with a character outside ASCII and Latin-1
+    letters, or with one of the tokenizer's added tokens, is one piece as it stands."""
+
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]"
+                       r"|[^ \t-\ra-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+    LETTERS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+\Z")
+    SPACE = re.compile(r"[ \t-\r]+")
+    MARK = "|"  # one token, never part of a run of letters
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tok = Tokenizer.from_file(public_tokenizers.path(name))
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.runs = Tokenizer.from_file(public_tokenizers.path(name))  # pieces need no second normalising and cutting
+        self.runs.normalizer = normalizers.Sequence([])
+        self.runs.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([r"[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]", *added]))
+        self.mark = self.tok.encode(self.MARK, add_special_tokens=False).ids
         self.clear()
 
     def clear(self):
-        self.at: dict[bytes, int] = {}
+        self.at = _Numbers()
         self.flat = np.empty(0, "<u4")
         self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _fill(self, letters: list[str], others: list[str]):
-        """Ids of new pieces: runs of letters, one pre-token each, go in long lines."""
-        for i in range(0, len(letters), 1024):
-            part = letters[i:i + 1024]
-            e = self.tok.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(e.ids, "<u4")
-            cuts = np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1)).tolist()
-            for w, x, y in zip(part, cuts, cuts[1:]):
-                self.pieces[w] = ids[x:y].tobytes()
-        for w, e in zip(others, self.tok.encode_batch(others, add_special_tokens=False)):
-            self.pieces[w] = np.array(e.ids, "<u4").tobytes()
-
-    def _learn(self, new: list[bytes]):
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces = {"": b""}
-        parts = []
-        for w in new:
-            t = w.decode()
-            m = self.PLAIN.match(t.lower())
-            parts.append((m[1], m[2]) if m else (t, ""))
-        known = self.pieces
-        plain = {a for (a, _), w in zip(parts, new) if a not in known and self.PLAIN.match(a)}
-        other = {x for p in parts for x in p if x not in known} - plain
-        self._fill(list(plain), list(other))
-        ids = [known[a] + known[b] for a, b in parts]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+    def pieces(self, text: str) -> list[str]:
+        if not self.whole.search(text):
+            return self.PIECE.findall(text.lower())
+        out: list[str] = []
+        for w in self.SPACE.split(text):
+            if self.whole.search(w):
+                out.append(w)
+            else:
+                out += self.PIECE.findall(w.lower())
+        return out
+
+    def _learn(self):
+        """Ids of the new pieces: runs of letters go in long lines, cut at the marks."""
+        new, self.at.new = self.at.new, []
+        runs = [w for w in new if self.LETTERS.match(w)] if len(self.mark) == 1 else []
+        ids: dict[str, np.ndarray] = {}
+        for i in range(0, len(runs), 1024):
+            part = runs[i:i + 1024]
+            line = np.array(self._ids(self.runs, [f" {self.MARK} ".join(part)])[0], "<u4")
+            ends = np.append(np.flatnonzero(line == self.mark[0]), len(line)).tolist()
+            ids.update((w, line[x:y]) for w, x, y in zip(part, [0, *[e + 1 for e in ends]], ends))
+        others = [w for w in new if w not in ids]
+        ids.update((w, np.array(e, "<u4")) for w, e in zip(others, self._ids(self.tok, others)))
+        size = np.fromiter((len(ids[w]) for w in new), np.int64, len(new))
         self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
         self.size = np.concatenate((self.size, size))
-        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(ids), "<u4")))
+        self.flat = np.concatenate((self.flat, *[ids[w] for w in new]))
+
+    @staticmethod
+    def _ids(tok, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.encode("utf-8", "replace").split() for t in texts]
-        if len(self.at) > CACHE_WORDS:
+        if len(self.at) > CACHE_PIECES:
             self.clear()
-        get = self.at.get
-        numbers = [[get(w, -1) for w in ws] for ws in split]
-        new = list(dict.fromkeys(w for ws, ks in zip(split, numbers) if -1 in ks for w, k in zip(ws, ks) if k < 0))
-        if new:
-            self._learn(new)
-            numbers = [[get(w) for w in ws] if -1 in ks else ks for ws, ks in zip(split, numbers)]
+        numbers = []
+        for t in texts:
+            ps = self.pieces(t)
+            numbers.append(np.fromiter(map(self.at.__getitem__, ps), np.int64, len(ps)))
+        if self.at.new:
+            self._learn()
         out = []
-        for ks in numbers:
-            k = np.array(ks, np.int64)
+        for k in numbers:
             size = self.size[k]
             ends = np.cumsum(size)
             total = int(ends[-1]) if len(ends) else 0
@@ -121,7 +142,15 @@ class WordIds:
         return out
 
 
-_WORDS: dict[str, WordIds] = {}
+_KNOWN: dict[str, PieceIds] = {}
+
+
+def known_pieces(tokenizer: str) -> PieceIds:
+    """The Python worker's memory of ids: it outlives a task, as this module does. (A
+    closure that reads ``_KNOWN`` itself would be sent an empty copy with every task.)"""
+    if tokenizer not in _KNOWN:
+        _KNOWN[tokenizer] = PieceIds(tokenizer)
+    return _KNOWN[tokenizer]
 
 
 def token_table(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = LENGTH) -> DataFrame:
@@ -131,12 +160,12 @@ def token_table(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = LENGT
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WORDS.get(tokenizer) or _WORDS.setdefault(tokenizer, WordIds(tokenizer))
+        known = known_pieces(tokenizer)
         row = full = TaskContext.get().partitionId() << 40
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                ids = words.encode(part.column(1).to_pylist())
+                ids = known.encode(part.column(1).to_pylist())
                 n = np.fromiter(map(len, ids), np.int64, len(ids))
                 q = n // length
                 yield pa.RecordBatch.from_arrays(

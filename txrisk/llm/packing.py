@@ -36,7 +36,7 @@ LENGTH = 2048
 GRAIN = 4
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_PIECES = 700_000   # pieces a task remembers
+CACHE_PIECES = 400_000   # pieces a task remembers
 MAX_PIVOTS = 4_000   # what rounding does not cover is fitted in any case
 GAP = 5e-4           # relative gap to a lower bound at which pricing ends
 BLEND = 0.05         # share of the duals in the stabilised prices

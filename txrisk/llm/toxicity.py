@@ -39,7 +39,8 @@ MAX_STEMS = 100_000
 CUT = 0.3
 STEMS = (3, 4, 5, 6)
 STEM_BITS = 24
-CACHE = 100_000      # readings a task remembers
+CACHE = 100_000      # decoded readings a task remembers
+VALUES = 250_000     # values of readings a task remembers
 HIT = 1.5
 
 #: Letters a symbol may stand for (fixed values).
@@ -174,19 +175,19 @@ class Restorer:
         self.model, self.cache = model, {}
 
     def token(self, tok: str) -> tuple[str, ...]:
+        bare = tok.lstrip(_EDGE).rstrip(_TAIL)
+        if bare.isalpha() and not _TRIPLE.search(bare):  # quicker read than remembered
+            return (bare,)
         got = self.cache.get(tok)
         if got is None:
-            got = self._read(tok)
+            got = self._read(bare)
             if len(self.cache) > CACHE:
                 self.cache.clear()
             if len(tok) <= 64:
                 self.cache[tok] = got
         return got
 
-    def _read(self, raw: str) -> tuple[str, ...]:
-        tok = raw.lstrip(_EDGE).rstrip(_TAIL)
-        if tok.isalpha() and not _TRIPLE.search(tok):
-            return (tok,)
+    def _read(self, tok: str) -> tuple[str, ...]:
         pieces = _WORD.findall(tok)
         if not pieces:
             return ()
@@ -229,7 +230,7 @@ class ToxicityModel:
         """Bias, strongest and second evidence, number of strong words, length."""
         if self.restorer is None:
             self.restorer = Restorer(self.chars)
-        if len(self.value) > CACHE:
+        if len(self.value) > VALUES:
             self.value.clear()
         vals = []
         for words in self.restorer.words(text):

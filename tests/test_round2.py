@@ -1,5 +1,6 @@
 """Cases where rows or values were lost: each compares with a value by hand."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +67,49 @@ def test_failed_runs_are_raised(spark):
     assert res.head()["status"] == "error"
     with pytest.raises(RuntimeError):
         require_ok(res)
+
+
+def _spread(spark, rows, c, mode):
+    from txrisk.operators.rolling import rolling_features
+    df = spark.createDataFrame(rows, "id long, dt long, k string, v double")
+    return {r["id"]: r["k_v_std_7d"] for r in rolling_features(
+        df, id_col="id", time_col="dt", value_col="v", keys=["k"], windows_days=[7], chunk_seconds=c,
+        between_mode=mode).collect()}
+
+
+@pytest.mark.parametrize("mode", ["frames", "blocks"])
+def test_std_of_a_tiny_spread_on_a_large_offset(spark, mode):
+    """Also where the level of the values jumps within a key's history."""
+    rows = [(i, i * 14400, "a", 1e9 + (0.005 if i % 2 else -0.005)) for i in range(40)]
+    rows += [(100 + i, i * 14400 + (30 * 86400 if i >= 20 else 0), "b",
+              (0.0 if i < 20 else 1e9) + (0.005 if i % 2 else -0.005)) for i in range(40)]
+    got = _spread(spark, rows, 21600, mode)
+    by_id = {r[0]: r for r in rows}
+    for i, t, k, v in rows:
+        seen = np.array([x[3] for x in by_id.values() if x[2] == k and t - 7 * 86400 <= x[1] and
+                         (x[1], x[0]) < (t, i)])
+        want = float(np.std(seen - seen[0])) if len(seen) else 0.0
+        assert abs(got[i] - want) < 1e-6, (mode, i, got[i], want)
+
+
+def test_chunk_width_follows_the_fullest_chunk(spark):
+    """A key whose rows all fall into one minute of a long history."""
+    from txrisk.operators.rolling import auto_chunk_seconds
+    rows = [("a", 86400 * 300 + i % 40) for i in range(400)] + [("a", 86400 * i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, dt long")
+    assert auto_chunk_seconds(df, ["k"], "dt", [1], target_rows=1000) == 86400
+    assert auto_chunk_seconds(df, ["k"], "dt", [1], target_rows=100) == 10
+    assert auto_chunk_seconds(df, ["k"], "dt", [1], target_rows=1) == 1
+
+
+def test_first_detection_from_window_sums_equals_the_scan(spark):
+    from txrisk.operators.drift import detection_margins, drift_scan, first_detection
+    rng = np.random.default_rng(3)
+    rows = [("shift", i, float(rng.random() < (0.1 if i < 60 else 0.9))) for i in range(150)]
+    rows += [("flat", i, float(rng.random() < 0.3)) for i in range(150)] + [("short", i, 0.5) for i in range(4)]
+    df = spark.createDataFrame(rows, "s string, p long, v double")
+    out = [{r["series"]: (r["n"], r["first_pos"], None if r["max_margin"] is None else round(r["max_margin"], 9))
+            for r in first_detection(x).collect()}
+           for x in (detection_margins(df, "s", "p", "v"), drift_scan(df, "s", "p", "v"))]
+    assert out[0] == out[1]
+    assert 60 <= out[0]["shift"][1] < 150 and out[0]["flat"][1] is None and out[0]["short"] == (4, None, None)

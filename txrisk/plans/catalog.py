@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txrisk.functions.util import round_doubles
 from txrisk.session import ship_package
@@ -52,9 +53,25 @@ def q_rolling_multi(spark, sf):
                                           keys=["card1", "card2", "addr1"], windows_days=[1, 3, 7]))
 
 
-# ---------------------------------------------------------------- preparation
-from pyspark.sql import functions as F  # noqa: E402
+@query("rolling_large_offset")
+def q_rolling_offset(spark, sf):
+    """Tiny spread on a large offset, daily chunks: part B as frames over chunks."""
+    tx = tb.tx_view(spark, sf).withColumn("amt", F.col("amt") + F.lit(1e6))
+    out = rolling_features(tx, id_col="id", time_col="dt", value_col="amt", keys=["card2"],
+                           windows_days=[7], chunk_seconds=86400)
+    return out.select("id", F.round("card2_amt_std_7d", 3).alias("card2_amt_std_7d"), "card2_id_count_7d")
+
+
+@query("rolling_large_offset_blocks")
+def q_rolling_offset_blocks(spark, sf):
+    """The same with hourly chunks: part B as running sums in blocks."""
+    tx = tb.tx_view(spark, sf).withColumn("amt", F.col("amt") + F.lit(1e6))
+    out = rolling_features(tx, id_col="id", time_col="dt", value_col="amt", keys=["card2"],
+                           windows_days=[7], chunk_seconds=3600)
+    return out.select("id", F.round("card2_amt_std_7d", 3).alias("card2_amt_std_7d"), "card2_id_count_7d")
+
 
+# ---------------------------------------------------------------- preparation
 from txrisk.operators import prep, profile  # noqa: E402
 
 TX_DAY_KW = dict(day_col="day", id_col="id", label_col="y", amount_col="amt")
@@ -289,7 +306,17 @@ def _error_series(spark, sf):
 
 @query("drift_first_detection")
 def q_drift_first(spark, sf):
-    return round_doubles(dr.first_detection(dr.drift_scan(_error_series(spark, sf), "series", "pos", "value")))
+    return round_doubles(dr.first_detection(
+        dr.detection_margins(_error_series(spark, sf), "series", "pos", "value")))
+
+
+@query("drift_shifted_series")
+def q_drift_shifted(spark, sf):
+    """The error series with right and wrong swapped from the 60th period on."""
+    s = _error_series(spark, sf)
+    start = s.select(F.min("pos") + 60).scalar()
+    s = s.withColumn("value", F.when(F.col("pos") >= start, 1 - F.col("value")).otherwise(F.col("value")))
+    return round_doubles(dr.first_detection(dr.detection_margins(s, "series", "pos", "value")))
 
 
 @query("drift_scan")
@@ -339,6 +366,7 @@ def q_typed_csv(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming
+from txrisk.functions.time import add_time_features  # noqa: E402
 from txrisk.streaming import daily as sdaily  # noqa: E402
 from txrisk.streaming.prequential import PrequentialJob, RuleLearner  # noqa: E402
 
@@ -376,6 +404,31 @@ def q_stream_log(spark, sf):
                                           "drift", "retrained"))
 
 
+SHIFT_DAY = 18  # the retraining query's labels turn over from this day on
+
+
+@query("stream_retrain_log")
+def q_stream_retrain(spark, sf):
+    """Daily batches whose labels follow the rule up to day 17 and oppose it after, so
+    that the detector fires and the learner is trained again. The detector runs at a
+    loose delta: a month of daily batches is too short for the usual one."""
+    tx = tb.tx_transactions(spark, sf)
+    tx = add_time_features(tx)
+    hit = (F.col("TransactionAmt") >= F.lit(250.0)).cast("int")
+    tx = tx.withColumn("isFraud", F.when(F.col("TransactionDay") < SHIFT_DAY, hit).otherwise(1 - hit))
+    train, stream = prep.split_train_test(tx, offline_weeks=1)
+    job = PrequentialJob(spark, shared_path(spark, "retrain_query", unique=True),
+                         RuleLearner(F.col("TransactionAmt") / F.lit(500.0)),
+                         batch_days=1, window_size=2, delta=0.3)
+    job.initialize(train, stream)
+    job.run()
+    st = job.statistics()
+    totals = [st.select(c).scalar().alias(c) for c in ("total_predictions", "total_batches",
+                                                       "retrain_count", "drift_count")]
+    return round_doubles(job.log().select("batch_id", "start_day", "size", "error_rate", "drift",
+                                          "retrained", "window_batches", *totals))
+
+
 # ---------------------------------------------------------------- experiments
 from txrisk.plans import experiments as ex  # noqa: E402
 
@@ -399,6 +452,26 @@ def q_incremental_experiment(spark, sf):
     return ex.results_table(ex.require_ok(res), "incremental")
 
 
+@query("static_grid")
+def q_static_grid(spark, sf):
+    """All twelve static configurations with their result and summary files; the figures
+    depend on the trees, so the rows returned are those of the files without them."""
+    data = tb.tx_model_input(spark, sf)
+    root = shared_path(spark, "static_grid", unique=True)
+    res = ex.require_ok(ex.run_grid(
+        spark, data, list(ex.EXPERIMENTS), mode="static", model_type="xgb", sampling_type="undersample",
+        offline_weeks=2, store=FeatureStore(spark, root=f"{root}/features"), num_boost_round=2))
+    ingest.write_results_csv(ex.results_table(res, "static"), f"{root}/results", ex.STATIC_COLUMNS)
+    ingest.write_results_csv(ingest.summary([res]), f"{root}/summary", ingest.SUMMARY_COLUMNS)
+    files = [spark.read.option("header", True).option("inferSchema", True).csv(f"{root}/{f}")
+             for f in ("results", "summary")]
+    scored = F.col("auc").between(0, 1) & F.col("precision").between(0, 1) & F.col("recall").between(0, 1)
+    summed = files[1].select("exp_id", scored.alias("in_summary"))
+    return files[0].join(summed, "exp_id").select(
+        "exp_id", "exp_name", "windows", "model_type", "sampling_type", "mode", "status",
+        scored.alias("scored"), "in_summary")
+
+
 @query("training_window_union")
 def q_training_window(spark, sf):
     from txrisk.streaming.prequential import training_window

@@ -67,6 +67,10 @@ SQL: dict[str, str] = {}
 
 SQL["rolling_user_1d_7d"] = f"WITH {TX} " + rolling_select("tx", "card1", [1, 7])
 SQL["rolling_ties_orders"] = f"WITH {TIED_ORDERS} " + rolling_select("tied", "cust", [30])
+OFFSET_TX = f"""{TX}, off AS (SELECT id, dt, card2, amt + 1e6 AS amt FROM tx), r AS ({rolling_select('off', 'card2', [7])})
+SELECT id, round(card2_amt_std_7d, 3) AS card2_amt_std_7d, card2_id_count_7d FROM r"""
+SQL["rolling_large_offset"] = f"WITH {OFFSET_TX}"
+SQL["rolling_large_offset_blocks"] = f"WITH {OFFSET_TX}"
 SQL["rolling_multi_key"] = rolling_multi(TX, "tx", ["card1", "card2", "addr1"], [1, 3, 7])
 
 TXD = TX + """, txd AS (
@@ -320,25 +324,34 @@ bad AS (SELECT nb.id, sum((a.y <> b.y)::INT) AS nbad FROM nb JOIN allv a ON a.id
 SELECT a.id, a.y FROM allv a JOIN bad ON a.id = bad.id WHERE bad.nbad = 0"""
 
 # ------------------------------------------------------------------ drift
-SQL["drift_first_detection"] = f"""WITH {TX},
-s AS (SELECT product AS series, floor(dt / 21600)::BIGINT AS pos,
-             avg(((score >= 0.5)::INT <> y)::DOUBLE) AS value FROM tx GROUP BY ALL),
-p AS (SELECT series, pos, row_number() OVER w AS k, sum(value) OVER w AS cs, sum(value * value) OVER w AS cs2
-      FROM s WINDOW w AS (PARTITION BY series ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+ERROR_SERIES = """s AS (SELECT product AS series, floor(dt / 21600)::BIGINT AS pos,
+             avg(((score >= 0.5)::INT <> y)::DOUBLE) AS value FROM tx GROUP BY ALL)"""
+
+
+def first_detection_sql(src: str, delta: float = 0.002) -> str:
+    """Every cut of every prefix of each series (CTE list after ``src``, then the select)."""
+    return f"""p AS (SELECT series, pos, row_number() OVER w AS k, sum(value) OVER w AS cs, sum(value * value) OVER w AS cs2
+      FROM {src} WINDOW w AS (PARTITION BY series ORDER BY pos ROWS UNBOUNDED PRECEDING)),
 m AS (SELECT e.series, e.pos, c.k::DOUBLE AS n0, (e.k - c.k)::DOUBLE AS n1,
              c.cs / c.k AS mean0, (e.cs - c.cs) / (e.k - c.k) AS mean1,
              greatest(e.cs2 / e.k - (e.cs / e.k) * (e.cs / e.k), 0) AS var,
-             ln(2 / (0.002 / ln(e.k))) AS lt
+             ln(2 / ({delta} / ln(e.k))) AS lt
       FROM p e JOIN p c ON e.series = c.series AND c.k >= 5 AND e.k - c.k >= 5 AND e.k >= 10),
 g AS (SELECT series, pos, max(abs(mean0 - mean1) - (sqrt(2 * (1 / n0 + 1 / n1) * var * lt)
              + 2 * (1 / n0 + 1 / n1) / 3 * lt)) AS margin FROM m GROUP BY series, pos),
 f AS (SELECT series, min(pos) FILTER (WHERE margin >= 0) AS first_pos FROM g GROUP BY series),
-cnt AS (SELECT series, count(*) AS n FROM s GROUP BY series)
+cnt AS (SELECT series, count(*) AS n FROM {src} GROUP BY series)
 SELECT cnt.series, cnt.n, f.first_pos, round(max(g.margin), 6) AS max_margin
 FROM cnt JOIN f USING (series) JOIN g USING (series)
 WHERE f.first_pos IS NULL OR g.pos <= f.first_pos
 GROUP BY cnt.series, cnt.n, f.first_pos"""
 
+
+SQL["drift_first_detection"] = f"WITH {TX}, {ERROR_SERIES}, " + first_detection_sql("s")
+SQL["drift_shifted_series"] = f"""WITH {TX}, {ERROR_SERIES},
+sh AS (SELECT series, pos, CASE WHEN pos >= (SELECT min(pos) + 60 FROM s) THEN 1 - value ELSE value END AS value
+       FROM s), """ + first_detection_sql("sh")
+
 # ------------------------------------------------------------------ storage
 TXR = TX + """, txr AS (SELECT id AS TransactionID, y AS isFraud, dt AS TransactionDT,
   amt AS TransactionAmt, product AS ProductCD, card1, card2, addr1 FROM tx)"""
@@ -367,6 +380,30 @@ SELECT batch_id, (14 + batch_id * 7)::INT AS start_day, (14 + batch_id * 7 + 6):
        false AS drift, false AS retrained
 FROM st GROUP BY batch_id"""
 
+SQL["stream_retrain_log"] = f"""WITH {TXD},
+b AS (SELECT day - 7 AS batch_id, day AS start_day, count(*) AS size,
+             avg(((amt >= 250)::INT <> (CASE WHEN day < 18 THEN (amt >= 250)::INT ELSE 1 - (amt >= 250)::INT END))::DOUBLE) AS value
+      FROM txd WHERE day >= 7 GROUP BY day),
+s AS (SELECT 'all' AS series, batch_id AS pos, value FROM b),
+fd AS (WITH {first_detection_sql("s", 0.3)}),
+d AS (SELECT b.*, coalesce(b.batch_id = (SELECT first_pos FROM fd), false) AS drift FROM b)
+SELECT batch_id::INT AS batch_id, start_day::INT AS start_day, size, round(value, 6) AS error_rate,
+       drift, drift AS retrained,
+       concat_ws(',', lag(batch_id) OVER (ORDER BY batch_id)::INT::VARCHAR, batch_id::INT::VARCHAR) AS window_batches,
+       sum(size) OVER ()::BIGINT AS total_predictions, count(*) OVER () AS total_batches,
+       sum(drift::INT) OVER ()::BIGINT AS retrain_count, sum(drift::INT) OVER ()::BIGINT AS drift_count
+FROM d"""
+
+SQL["static_grid"] = """WITH g(exp_id, exp_name, windows) AS (VALUES
+  ('baseline', 'Baseline (No Window Features)', 'None'), ('e1', '1-day Window', '1'),
+  ('e1a', '2-day Window', '2'), ('e2', '3-day Window', '3'), ('e2a', '5-day Window', '5'),
+  ('e3', '7-day Window', '7'), ('e4', '14-day Window', '14'), ('e5', '30-day Window', '30'),
+  ('e6', '1+3+7-day Windows', '1+3+7'), ('e6b', '1+14-day Windows', '1+14'),
+  ('e7', '1+2-day Windows', '1+2'), ('e8', '1+2+3-day Windows', '1+2+3'))
+SELECT exp_id, exp_name, windows, 'xgb' AS model_type, 'undersample' AS sampling_type, 'static' AS mode,
+       'ok' AS status, true AS scored, true AS in_summary
+FROM g WHERE (SELECT count(*) FROM events) > 0"""
+
 SQL["training_window_union"] = f"""WITH {STREAM_SIDE},
 r AS (SELECT batch_id, dense_rank() OVER (ORDER BY batch_id DESC) AS rk FROM (SELECT DISTINCT batch_id FROM st WHERE batch_id <= 2))
 SELECT id, batch_id, day, y FROM st WHERE batch_id IN (SELECT batch_id FROM r WHERE rk <= 2)"""

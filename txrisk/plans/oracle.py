@@ -67,8 +67,12 @@ SQL: dict[str, str] = {}
 
 SQL["rolling_user_1d_7d"] = f"WITH {TX} " + rolling_select("tx", "card1", [1, 7])
 SQL["rolling_ties_orders"] = f"WITH {TIED_ORDERS} " + rolling_select("tied", "cust", [30])
-OFFSET_TX = f"""{TX}, off AS (SELECT id, dt, card2, amt + 1e6 AS amt FROM tx), r AS ({rolling_select('off', 'card2', [7])})
-SELECT id, round(card2_amt_std_7d, 3) AS card2_amt_std_7d, card2_id_count_7d FROM r"""
+# Rounded once: rounding to 6 digits first would move values next to a half.
+OFFSET_TX = f"""{TX}, off AS (SELECT id, dt, card2, amt + 1e6 AS amt FROM tx)
+SELECT a.id, round(coalesce(stddev_pop(b.amt), 0), 3) AS card2_amt_std_7d, count(b.id) AS card2_id_count_7d
+FROM off a LEFT JOIN off b ON a.card2 = b.card2 AND b.dt >= a.dt - {7 * SECONDS_PER_DAY}
+  AND (b.dt < a.dt OR (b.dt = a.dt AND b.id < a.id))
+GROUP BY a.id"""
 SQL["rolling_large_offset"] = f"WITH {OFFSET_TX}"
 SQL["rolling_large_offset_blocks"] = f"WITH {OFFSET_TX}"
 SQL["rolling_multi_key"] = rolling_multi(TX, "tx", ["card1", "card2", "addr1"], [1, 3, 7])

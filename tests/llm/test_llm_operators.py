@@ -91,6 +91,18 @@ def test_near_groups(docs, empty):
     assert simhash.near_groups(empty).count() == 0
 
 
+def test_one_of_each_keeps_a_row_of_every_component(spark):
+    """Unrelated texts without an id, and components that share an id."""
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choices("abdeilnorst", k=6)) for _ in range(60))
+    alone = [text() for _ in range(5)]
+    a, b, c = text(), text(), text()
+    data = [(None, t) for t in alone] + [(1, a), (2, b), (1, b), (2, b), (7, c), (7, alone[0]), (None, c)]
+    for parts in (1, 4):
+        got = simhash.one_of_each(spark.createDataFrame(data, "doc_id long, text string").repartition(parts)).collect()
+        assert Counter(map(tuple, got)) == Counter([*[(None, t) for t in alone[1:]], (7, alone[0]), (1, a), (1, b), (7, c)])
+
+
 def test_link_forest_keeps_components_in_blocks(spark):
     rng = random.Random(1)
     centre = [rng.getrandbits(64) for _ in range(3)]

@@ -68,15 +68,17 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
     return bits.sum(axis=0, dtype=np.int64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, ``fp`` long) of every document; null texts count as empty (0)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, ``fp`` long) of every document, with the columns ``also``; null texts
+    count as empty (0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t, shingle) for t in b.column(0).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fps.view(np.int64))], ["doc_id", *also, "fp"])
 
-    d = docs.select("doc_id", text_of().alias("text"))
-    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp long")
+    d = docs.select(text_of().alias("text"), "doc_id", *also)
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d.schema.fields[1:])
+    return d.mapInArrow(run, f"{kept}, fp long")
 
 
 # ---------------------------------------------------------------- grid join
@@ -252,21 +254,31 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     """
     spark = docs.sparkSession
     rows = written(spark, fingerprints(docs, shingle), "simhash_fps")
-    least = written(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash_distinct")
-    roots = components(link_forest(least.select("fp"), max_bits))
-    named = least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = _named(rows, F.col("doc_id"), max_bits)
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_fp = named.join(ids, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _named(rows: DataFrame, least: Column, max_bits: int) -> DataFrame:
+    """(``fp``, ``root``, ``first``): each distinct fingerprint, its component and the
+    smallest ``least`` of its rows."""
+    first = written(rows.sparkSession, rows.groupBy("fp").agg(F.min(least).alias("first")), "simhash_distinct")
+    roots = components(link_forest(first.select("fp"), max_bits))
+    return first.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest id (any one of
-    repeated ids); columns as they were."""
-    cols = docs.columns
-    keep = written(docs.sparkSession, near_groups(docs, shingle, max_bits)
-                   .where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "simhash_keep")
-    same = F.col("doc_id").eqNullSafe(F.col("_keep"))
-    kept = docs.join(keep.select(F.col("doc_id").alias("_keep")), same, "left_semi")
-    return kept.withColumn("_key", F.struct(F.col("doc_id"))).dropDuplicates(["_key"]).select(*cols)
+    """``docs`` with one row of each component, that of the smallest id (a null id comes
+    last; any one row of a repeated id); columns as they were. Rows are told apart by a
+    number that is stored with them, so components may share ids or have none."""
+    spark = docs.sparkSession
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    stored = written(spark, docs.select(whole.alias("_doc"), F.monotonically_increasing_id().alias("_row")), "simhash_docs")
+    texts = stored.select("_row", F.col("_doc.doc_id").alias("doc_id"), F.col("_doc.text").alias("text"))
+    rows = written(spark, fingerprints(texts, shingle, ("_row",)), "simhash_fps")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_row"))
+    keep = _named(rows, order, max_bits).groupBy("root").agg(F.min("first").alias("first"))
+    keep = written(spark, keep.select(F.col("first._row").alias("_row")), "simhash_keep")
+    return stored.join(keep, "_row", "left_semi").select("_doc.*")

@@ -255,6 +255,27 @@ def test_pii_spans(text, want):
     assert ",".join(f"{k}:{s}:{e}" for k, s, e, _ in pii.spans(text)) == want
 
 
+DE, NO = "DE89 3704 0044 0532 0130 00", "NO9386011117947"
+
+
+@pytest.mark.parametrize("text,want", [
+    (f"{DE} BIC COBADEFF", "iban:0:27"), (f"{DE} EUR 100", "iban:0:27"), (f"{DE} 2024-01-05", "iban:0:27"),
+    (f"{DE} 7", "iban:0:27"), (f"IBAN XX12 {DE} {NO} OK", "iban:10:37,iban:38:53"), (f"{DE}7", ""), (f"{DE}a", ""),
+    (f"{DE[:-1]} 0", "iban:0:28"),
+    (f"{NO} {DE}", "iban:0:15,iban:16:43"), ("GB82 WEST 1234 5698 7654 32 AND MORE", "iban:0:27"), ("DE89 3704 0044", "")])
+def test_pii_iban_before_other_tokens(text, want):
+    assert ",".join(f"{k}:{s}:{e}" for k, s, e, _ in pii.spans(text)) == want
+
+
+def test_pii_iban_of_a_country_not_listed():
+    body = "ABCD1234567890123"
+    code = next(c for c in (f"ZZ{k:02}{body}" for k in range(2, 99)) if pii.mod97(c))
+    for after in ("", " EUR 100", " 20240105 X9"):
+        found = pii.spans(f"iban {code}{after}")
+        assert [(k, s) for k, s, *_ in found] == [("iban", 5)]
+        assert found[0][2] == 5 + len(code) or pii.mod97(f"iban {code}{after}"[5:found[0][2]].replace(" ", ""))
+
+
 def test_pii_base_equals_the_plain_patterns():
     rng = random.Random(3)
     for _ in range(3000):

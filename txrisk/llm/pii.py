@@ -5,7 +5,8 @@ Four base kinds (email, ip, card, phone) keep every confirmed match whatever its
 score. Further proposals are kept where prior, validator and context together reach
 ``KEEP``:
 
-- iban: country code, two check digits, 11 to 30 letters or digits; mod-97 must be 1;
+- iban: country code, two check digits, letters or digits up to the country's length
+  (any length from 15 to 34 for a country not listed); mod-97 must be 1;
 - card: 13 to 15 digits passing Luhn, with a payment word nearby;
 - phone: 10 to 11 digits in national grouping, with a telephone word nearby;
 - ssn: 3-2-4 digits in an assigned range, with an identity word nearby.
@@ -48,7 +49,17 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_NEXT = re.compile(r" ?([A-Z0-9])")
+_ALNUM = re.compile(r"[A-Za-z0-9]")
+#: Length of an IBAN by country (ISO 13616 registry).
+IBAN_LENGTH = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}.items() for c in cs.split()}
+IBAN_SHORTEST, IBAN_LONGEST = 15, 34
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _NATIONAL = re.compile(r"(?<![0-9+.-])(?:1[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 
@@ -85,6 +96,26 @@ def _ips(text: str) -> Iterator[tuple[int, int]]:
             at = end + 1
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that pass mod-97 at their country's length, or for a country not listed at
+    the longest length that does. A span ends where a run of letters or digits ends; the
+    search goes on after a confirmed span, or else after the start that failed."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        at, code, ends = m.end(), m[0], []
+        fixed = IBAN_LENGTH.get(code[:2])
+        end = m.end()
+        while len(code) < (fixed or IBAN_LONGEST) and (c := _IBAN_NEXT.match(text, end)):
+            code, end = code + c[1], c.end()
+            if len(code) >= (fixed or IBAN_SHORTEST) and not _ALNUM.match(text, end):
+                ends.append((len(code), end))
+        for n, end in reversed(ends):
+            if mod97(code[:n]):
+                yield m.start(), end
+                at = end
+                break
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if c in "0123456789")
 
@@ -107,10 +138,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def _proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, whether a checksum confirms it) beyond the base kinds."""
-    for m in _IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            yield "iban", *m.span(), True
+    for span in _ibans(text):
+        yield "iban", *span, True
     for m in _CARD.finditer(text):
         if m.end() - m.start() < 64 and 13 <= len(d := _digits(m[0])) <= 15 and luhn(d):
             yield "card", *m.span(), True

@@ -307,6 +307,19 @@ def test_quality_rules(spark, docs, empty):
     assert quality.quality_rules(empty, trusted).count() == 0
 
 
+def test_quality_keeps_good_documents_with_any_number_of_trusted_ones(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abdeilnorst", k=7))
+    good, junk = [word() for _ in range(300)], [word() for _ in range(300)]
+    data = [(i, " ".join(rng.choices(junk if i >= 2050 else good, k=100))) for i in range(2100)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    for n in (0, 1, 20, 300, 2000):  # 0 to 400,000 trusted n-grams; 2,000 to 2,049 are good and never trusted
+        got = quality.quality_rules(docs, docs.where(F.col("doc_id") < n).select("doc_id")).collect()
+        assert all(r["kept"] for r in got if r["doc_id"] < 2050)
+        assert n or {r["score"] for r in got} == {0.0}
+    assert not any(r["kept"] for r in got if r["doc_id"] >= 2050)
+
+
 def test_toxicity_learns_stems_and_reads_disguises(spark, empty):
     rng = random.Random(2)
     plain = ["the", "house", "green", "river", "walks", "along", "stone", "idle", "moss", "other"]

@@ -2,9 +2,14 @@
 between a trusted-target and a raw-corpus multinomial (native DataFrame code only).
 
 Every document's hashed unigrams and bigrams (``BUCKETS`` buckets) are counted over
-the whole corpus and, in the same pass, over trusted documents; the smoothed log
-ratio of the two multinomials is summed over a document's n-grams and divided by
-their number. A document passes at ``THRESHOLD`` or more: no draw is involved.
+the whole corpus and, in the same pass, over trusted documents; the log ratio of the
+two multinomials is summed over a document's n-grams and divided by their number. The
+target is smoothed towards the raw multinomial, as if ``PRIOR`` n-grams drawn from it
+had been trusted: little evidence gives ratios near 0, whatever the corpus' size. A
+document passes at ``THRESHOLD`` or more: no draw is involved.
+
+Both constants were fixed on labelled rows left out of the trusted counts, at sf0.01
+and sf0.1 with 30 trusted rows up to all: the lowest good row had -0.166.
 
 The trusted multinomial is fitted on at most ``TRUSTED_ROWS`` rows labelled of good
 quality (those whose id hashes lowest), which bounds the broadcast of their ids. The
@@ -20,8 +25,8 @@ from txrisk.llm.common import once, text_of, words_of, written
 
 BUCKETS = 65536
 TRUSTED_ROWS = 50_000
-SMOOTHING = 1.0
-THRESHOLD = -0.15    # nats per n-gram
+PRIOR = 262_144.0    # n-grams
+THRESHOLD = -0.2     # nats per n-gram
 MIN_WORDS = 50
 
 
@@ -70,8 +75,7 @@ def gram_buckets(words: Column) -> Column:
     return F.concat(F.transform(low, lambda w: bucket(F.xxhash64(w))), pairs)
 
 
-def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
-                trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def ratio_table(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
     """(``_b``, ``ratio``): log p_target(bucket) - log p_raw(bucket) for the buckets
     that occur. ``trusted`` has ``doc_id``; null ids are left out."""
     ids = (trusted.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
@@ -83,17 +87,17 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
               .groupBy("_b").agg(F.count(F.lit(1)).alias("_raw"), F.count("_trusted").alias("_target")))
     counts = written(docs.sparkSession, counts, "quality_counts")
     totals = counts.agg(F.coalesce(F.sum("_raw"), F.lit(0)), F.coalesce(F.sum("_target"), F.lit(0))).head()
-    logp = lambda c, total: F.log((F.col(c) + SMOOTHING) / F.lit(float(total + SMOOTHING * buckets)))
-    return counts.select("_b", (logp("_target", totals[1]) - logp("_raw", totals[0])).alias("ratio"))
+    # (target + PRIOR * p) / (total target + PRIOR) / p, where p = raw / total raw
+    lift = F.col("_target") * F.lit(float(totals[0])) / F.col("_raw")
+    return counts.select("_b", F.log((lift + PRIOR) / F.lit(totals[1] + PRIOR)).alias("ratio"))
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, the rule counts, base_failed, kept, score.
 
     Null and empty texts have no words: all counts 0, score 0, base_failed. Repeated
-    rows (and ids) keep their own result row. Without trusted rows every ratio falls
-    back to the smoothed comparison with an empty target, which is the same for equal
-    counts. Other columns are not read; an empty table gives an empty result.
+    rows (and ids) keep their own result row. Without trusted rows every ratio, and so
+    every score, is 0. Other columns are not read; an empty table gives an empty result.
     """
     table = ratio_table(docs, trusted)
     rules = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

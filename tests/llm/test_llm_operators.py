@@ -243,6 +243,74 @@ def test_column_generation_reaches_the_bound():
     assert sum(sizes[k] * c for k, c in pattern.items()) <= 20 and worth == pytest.approx(20 + 0.5 * pattern.get(2, 0))
 
 
+def test_packing_leftover_does_not_grow_with_the_corpus(monkeypatch):
+    """An over-covered class: surplus items go, not whole sequences."""
+    first_fit, seen = packing.first_fit, []
+    monkeypatch.setattr(packing, "first_fit", lambda sizes, left, cap: seen.append(int(left.sum())) or first_fit(sizes, left, cap))
+    rng = random.Random(4)
+    mixed = {c: rng.randint(1, 400) for c in rng.sample(range(1, 513), 60)}
+    for hist in ({12: 10, 100: 1000, 300: 1000}, {12: 1000, 100: 100_000, 300: 100_000}, mixed):
+        rows, recut_from, n_seq = packing.layout(hist, 512)
+        patterns = packing.solve_patterns(np.array(sorted(hist)), np.array([float(hist[c]) for c in sorted(hist)]), 512)
+        assert seen.pop() <= sum(sum(p.values()) for p, _ in patterns)
+        used, filled = Counter(), Counter()
+        for c, start, stop, seq, each, _ in sorted(rows, key=lambda r: (r[0], r[1])):
+            assert start == used[c] and (stop - start) % each == 0
+            used[c] = stop
+            for k in range((stop - start) // each if n_seq < 10_000 else 1):
+                filled[seq + k] += c * each
+        assert recut_from == {c: used[c] for c in hist} and all(used[c] <= n for c, n in hist.items())
+        assert max(filled.values()) <= 512 and max(filled) < n_seq
+
+
+def test_first_fit_by_counts_equals_one_by_one():
+    rng = random.Random(9)
+    for _ in range(60):
+        sizes = np.array(sorted(rng.sample(range(1, 60), rng.randint(1, 9))), np.int64)
+        left = np.array([rng.choice([0, 1, 2, 7, 40]) for _ in sizes])
+        bins, free = [], []
+        for k in range(len(sizes) - 1, -1, -1):
+            for _ in range(left[k]):
+                at = next((i for i, f in enumerate(free) if f >= sizes[k]), len(free))
+                if at == len(free):
+                    bins.append(Counter())
+                    free.append(60)
+                bins[at][k] += 1
+                free[at] -= sizes[k]
+        got = [items for items, n in packing.first_fit(sizes, left, 60) for _ in range(n)]
+        assert got == [dict(b) for b in bins]
+
+
+def test_recut_lays_remainders_end_to_end(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RECUT_BLOCK", 7)
+    rng = random.Random(2)
+    rem = sorted((rng.choice([5, 6, 120, 300]) for _ in range(150)), reverse=True)
+    rank, data = Counter(), []
+    for i, r in enumerate(rem):
+        c = -(-r // 4)
+        data.append((i, 2048 + r, r, c, 3 + rank[c]))
+        rank[c] += 1
+    pool = spark.createDataFrame(data, "_row long, _n long, _rem long, _class int, _rank long").repartition(5)
+    recut, n = packing._recut(pool, 10, 512)
+    got = sorted((r["seq"], r["_at"], r["_row"], r["start"], r["length"]) for r in recut.collect())
+    place = 0
+    for seq, at, row, start, length in got:
+        assert at == place and 10 <= seq < 10 + n
+        place += length
+    assert place == sum(rem)
+    fills = Counter()
+    for seq, _, _, _, length in got:
+        fills[seq] += length
+    assert len(fills) == n and all(f == 512 or f & (f - 1) == 0 for f in fills.values())
+    owner = {}
+    for _, _, row, start, length in got:
+        assert start == owner.get(row, 2048)
+        owner[row] = start + length
+    assert owner == {i: 2048 + r for i, r in enumerate(rem)}
+    plan = recut._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
 PII = [("mail a.b+c@x-y.example.com, x@y z", "email:5:26"), ("1.2.3.4.5.6.7.8 300.1.1.1", "ip:0:7,ip:8:15"),
        ("card 4111 1111 1111 1111 ok", "card:5:24"), ("4111 1111 1111 1112", ""), ("+1 (377) 555-0271 x", "phone:0:17"),
        ("my iban DE89 3704 0044 0532 0130 00 ok", "iban:8:35"), ("DE89 3704 0044 0532 0130 01", ""),

@@ -5,13 +5,15 @@ histogram of remainders (in classes of ``GRAIN`` tokens, so at most 512 rows, wh
 the corpus) is the demand of a cutting-stock problem. Its linear program over patterns
 is solved by column generation: a revised simplex master, priced by a knapsack
 dynamic program over the capacity. Rounded-down patterns are laid out as sequences and
-assigned to the documents by their rank in their class. What rounding leaves over
-(bounded by the number of patterns) goes first-fit decreasing; the documents of its
-badly filled sequences are laid end to end and cut at every ``LENGTH`` tokens, and the
-last stretch at powers of two, which need no padding.
+assigned to the documents by their rank in their class; where the program covers a class
+more than once, the surplus items are left out of their sequences. What rounding leaves
+over (at most the items of all patterns together, whatever the corpus) goes first-fit
+decreasing; the documents of its badly filled sequences are laid end to end and cut at
+every ``LENGTH`` tokens, and the last stretch at powers of two, which need no padding.
 
 Tokens are computed once and stored. Only the histogram reaches the driver; ranks are
-salted, so one length may hold any share of the documents.
+salted and the recut's places are prefix sums over blocks of ranks, so one length may
+hold any share of the documents and any share may be recut.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ MAX_PIVOTS = 4_000   # what rounding does not cover is fitted in any case
 GAP = 5e-4           # relative gap to a lower bound at which pricing ends
 BLEND = 0.05         # share of the duals in the stabilised prices
 GOOD_FILL = 0.985    # leftover sequences filled less are recut
+RECUT_BLOCK = 1000   # ranks summed in one task of the recut
 
 
 # ---------------------------------------------------------------- tokens
@@ -254,20 +257,34 @@ def solve_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list
     return [(p, float(v)) for p, c, v in zip(basis, cost, x) if c]
 
 
-def first_fit(sizes: np.ndarray, left: np.ndarray, capacity: int) -> list[dict[int, int]]:
-    """First-fit decreasing of what is left of each class."""
-    bins: list[Counter] = []
-    free = np.empty(0, np.int64)
-    for k in np.argsort(-sizes):
-        for _ in range(int(left[k])):
-            ok = np.flatnonzero(free >= sizes[k])
-            if not len(ok):
-                bins.append(Counter())
-                free = np.append(free, capacity)
-                ok = [len(bins) - 1]
-            bins[ok[0]][int(k)] += 1
-            free[ok[0]] -= sizes[k]
-    return [dict(b) for b in bins]
+def trimmed(pattern: dict[int, int], times: int, left: np.ndarray) -> Iterator[tuple[dict[int, int], int]]:
+    """``times`` sequences of a pattern as far as there are documents ``left`` (lowered
+    in place): items that ran out are missing from the later ones."""
+    while times > 0 and (items := {k: int(min(c, left[k])) for k, c in pattern.items() if left[k] > 0}):
+        n = int(min(times, *(left[k] // c for k, c in items.items())))
+        for k, c in items.items():
+            left[k] -= c * n
+        times -= n
+        yield items, n
+
+
+def first_fit(sizes: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """First-fit decreasing of what is left of each class: sequences and how many there
+    are of each. Equal neighbours are handled at once, so the work does not grow with
+    the counts."""
+    bins: list[tuple[dict[int, int], int, int]] = []  # items, free, times
+    for k in np.argsort(-sizes).tolist():
+        n, size, new = int(left[k]), int(sizes[k]), []
+        for items, free, times in bins + [({}, capacity, int(left[k]))]:
+            each = free // size
+            whole = min(times, n // each) if each else 0
+            part = n - whole * each if each and whole < times else 0
+            n -= whole * each + part
+            new += [({**items, k: each}, free - each * size, whole), ({**items, k: part}, free - part * size, int(part > 0))]
+            if items:
+                new.append((items, free, times - whole - (part > 0)))
+        bins = [b for b in new if b[2] > 0]
+    return [(items, times) for items, _, times in bins]
 
 
 def layout(hist: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int, int]], dict[int, int], int]:
@@ -276,18 +293,13 @@ def layout(hist: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, in
     class's documents are recut, and the number of sequences."""
     sizes = np.array(sorted(hist), np.int64)
     demand = np.array([hist[int(s)] for s in sizes], np.int64)
+    fill = lambda items: sum(int(sizes[k]) * c for k, c in items.items())
     plan: list[tuple[dict[int, int], int]] = []
     left = demand.copy()
-    for pattern, use in solve_patterns(sizes, demand.astype(float), capacity):
-        times = int(min([use + 1e-7, *(left[k] // c for k, c in pattern.items())]))
-        if times > 0:
-            plan.append((pattern, times))
-            for k, c in pattern.items():
-                left[k] -= c * times
-    fitted = Counter(tuple(sorted(b.items())) for b in first_fit(sizes, left, capacity))
-    for items, times in fitted.items():
-        if sum(int(sizes[k]) * c for k, c in items) >= GOOD_FILL * capacity:
-            plan.append((dict(items), times))
+    # The fullest go first: what a class is over-covered by is missing from the others.
+    for pattern, use in sorted(solve_patterns(sizes, demand.astype(float), capacity), key=lambda p: -fill(p[0])):
+        plan += trimmed(pattern, int(use + 1e-7), left)
+    plan += [b for b in first_fit(sizes, left, capacity) if fill(b[0]) >= GOOD_FILL * capacity]
     done, seq, rows = np.zeros(len(sizes), np.int64), 0, []
     for pattern, times in plan:
         slot = 0
@@ -330,7 +342,7 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = LENGTH, grai
     first = spark.createDataFrame(list(recut_from.items()) or [(0, 0)], "_class int, _first long")
     pool = (ranked.join(F.broadcast(first), "_class").where("_rank >= _first")
             .select("_row", "_n", "_rem", "_class", "_rank"))
-    pool = written(spark, pool.coalesce(1), "pack_pool")  # a few sequences at most: see layout
+    pool = written(spark, pool, "pack_pool")
     recut, n_recut = _recut(pool, n_seq, length)
     pieces = placed.unionByName(recut)
     before = Window.partitionBy("seq").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
@@ -340,16 +352,28 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = LENGTH, grai
 
 
 def _recut(pool: DataFrame, first_seq: int, length: int) -> tuple[DataFrame, int]:
-    """Lays the pool's remainders end to end and cuts them; also how many sequences."""
-    total = int(pool.agg(F.coalesce(F.sum("_rem"), F.lit(0))).head()[0])
+    """Lays the pool's remainders end to end and cuts them; also how many sequences. A
+    remainder's place adds up the classes before its own (at most length / grain, from
+    the driver), the blocks of ranks before its own and the ranks before it."""
+    total, starts = 0, []
+    for c, n in sorted(pool.groupBy("_class").agg(F.sum("_rem")).collect(), reverse=True):
+        starts.append((c, total))
+        total += int(n)
     full, tail = divmod(total, length)
     marks, at = [], full * length  # where the stretches of the tail begin, powers of two
     for p in range(tail.bit_length() - 1, -1, -1):
         if tail >> p & 1:
             marks.append(at)
             at += 1 << p
-    order = Window.orderBy(F.col("_class").desc(), "_rank", "_row")
-    d = pool.withColumn("_to", F.sum("_rem").over(order)).withColumn("_from", F.col("_to") - F.col("_rem"))
+    d = pool.withColumn("_block", F.floor(F.col("_rank") / RECUT_BLOCK))
+    before = Window.partitionBy("_class").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (d.groupBy("_class", "_block").agg(F.sum("_rem").alias("_sum"))
+              .select("_class", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")))
+    inner = Window.partitionBy("_class", "_block").orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
+    first = pool.sparkSession.createDataFrame(starts or [(0, 0)], "_class int, _start long")
+    d = (d.join(blocks, ["_class", "_block"]).join(F.broadcast(first), "_class")
+         .withColumn("_to", F.col("_start") + F.col("_before") + F.sum("_rem").over(inner))
+         .withColumn("_from", F.col("_to") - F.col("_rem")))
     low = F.floor(F.col("_from") / length) + 1
     high = F.least(F.ceil(F.col("_to") / length) - 1, F.lit(full))
     every = F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), lambda j: j * length)).otherwise(

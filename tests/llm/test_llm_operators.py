@@ -260,7 +260,23 @@ def test_packing_leftover_does_not_grow_with_the_corpus(monkeypatch):
             for k in range((stop - start) // each if n_seq < 10_000 else 1):
                 filled[seq + k] += c * each
         assert recut_from == {c: used[c] for c in hist} and all(used[c] <= n for c, n in hist.items())
-        assert max(filled.values()) <= 512 and max(filled) < n_seq
+        assert max(filled.values(), default=0) <= 512 and max(filled, default=-1) < n_seq
+
+
+def test_packing_recuts_what_patterns_cannot_fill(spark):
+    """Remainders just over half a sequence, and documents far shorter than a class."""
+    pytest.importorskip("public_tokenizers")
+    assert packing.layout({257: 1000}, 512)[::2] == ([], 0)
+    for sizes in ([1028] * 90, [1200] * 70 + [40] * 5, [1] * 3000):
+        data = [(i, "7 " * (n - 1)) for i, n in enumerate(sizes)]
+        got = packing.pack(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()
+        length, filled = Counter(), Counter()
+        for r in got:
+            length[r["doc_id"]] += r["length"]
+            filled[r["sequence_id"]] += r["length"]
+        assert length == dict(enumerate(sizes))
+        padding = sum((1 << (n - 1).bit_length()) - n for n in filled.values())
+        assert padding < 0.02 * sum(sizes) and max(filled.values()) <= 2048
 
 
 def test_first_fit_by_counts_equals_one_by_one():

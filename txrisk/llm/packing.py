@@ -8,8 +8,9 @@ dynamic program over the capacity. Rounded-down patterns are laid out as sequenc
 assigned to the documents by their rank in their class; where the program covers a class
 more than once, the surplus items are left out of their sequences. What rounding leaves
 over (at most the items of all patterns together, whatever the corpus) goes first-fit
-decreasing; the documents of its badly filled sequences are laid end to end and cut at
-every ``LENGTH`` tokens, and the last stretch at powers of two, which need no padding.
+decreasing. The documents of badly filled sequences, of a pattern or of first-fit, are
+laid end to end and cut at every ``LENGTH`` tokens, and the last stretch at powers of
+two, which need no padding.
 
 Tokens are computed once and stored. Only the histogram reaches the driver; ranks are
 salted and the recut's places are prefix sums over blocks of ranks, so one length may
@@ -42,7 +43,7 @@ CACHE_PIECES = 400_000   # pieces a task remembers
 MAX_PIVOTS = 4_000   # what rounding does not cover is fitted in any case
 GAP = 5e-4           # relative gap to a lower bound at which pricing ends
 BLEND = 0.05         # share of the duals in the stabilised prices
-GOOD_FILL = 0.985    # leftover sequences filled less are recut
+GOOD_FILL = 0.985    # sequences filled less are recut
 RECUT_BLOCK = 1000   # ranks summed in one task of the recut
 
 
@@ -287,19 +288,21 @@ def first_fit(sizes: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[
     return [(items, times) for items, _, times in bins]
 
 
-def layout(hist: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int, int]], dict[int, int], int]:
+def layout(hist: dict[int, int], capacity: int, mean: dict[int, float] | None = None) -> tuple[list[tuple[int, int, int, int, int, int]], dict[int, int], int]:
     """From the demand by class (size in units): rows (class, rank from, rank to, first
     sequence, documents of the class in a sequence, first slot), the ranks from which a
-    class's documents are recut, and the number of sequences."""
+    class's documents are recut, and the number of sequences. ``mean`` has the classes'
+    mean sizes in units, their upper bounds if not given; fills are reckoned with them."""
     sizes = np.array(sorted(hist), np.int64)
     demand = np.array([hist[int(s)] for s in sizes], np.int64)
-    fill = lambda items: sum(int(sizes[k]) * c for k, c in items.items())
+    mean = mean or {int(s): float(s) for s in sizes}
+    fill = lambda items: sum(mean[int(sizes[k])] * c for k, c in items.items())
     plan: list[tuple[dict[int, int], int]] = []
     left = demand.copy()
     # The fullest go first: what a class is over-covered by is missing from the others.
     for pattern, use in sorted(solve_patterns(sizes, demand.astype(float), capacity), key=lambda p: -fill(p[0])):
         plan += trimmed(pattern, int(use + 1e-7), left)
-    plan += [b for b in first_fit(sizes, left, capacity) if fill(b[0]) >= GOOD_FILL * capacity]
+    plan = [b for b in plan + first_fit(sizes, left, capacity) if fill(b[0]) >= GOOD_FILL * capacity]
     done, seq, rows = np.zeros(len(sizes), np.int64), 0, []
     for pattern, times in plan:
         slot = 0
@@ -320,14 +323,16 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = LENGTH, grai
     Null and empty texts consist of the end id alone. Repeated rows are packed once
     each, every copy with its own pieces. Other columns are not read; an empty table
     gives an empty result. Sequences other than recut ones are filled to within
-    ``grain`` - 1 tokens per piece of what their pattern holds.
+    ``grain`` - 1 tokens per piece of what their pattern holds, and on average over a
+    class's documents to ``GOOD_FILL``.
     """
     spark = docs.sparkSession
     tokens = written(spark, token_table(docs, tokenizer, length), "pack_tokens")
     rest = (tokens.select("_row", (F.col("_n") % length).alias("_rem"), "_n").where("_rem > 0")
             .withColumn("_class", F.ceil(F.col("_rem") / grain).cast("int")))
-    hist = {r[0]: r[1] for r in rest.groupBy("_class").count().collect()}  # at most length/grain rows
-    rows, recut_from, n_seq = layout(hist, length // grain)
+    classes = rest.groupBy("_class").agg(F.count(F.lit(1)), F.avg("_rem") / grain).collect()  # at most length/grain rows
+    hist = {r[0]: r[1] for r in classes}
+    rows, recut_from, n_seq = layout(hist, length // grain, {r[0]: r[2] for r in classes})
 
     salts = n_salts(sum(hist.values()))
     ranked = rank_in_groups(rest, ["_class"], [F.xxhash64("_row"), F.col("_row")], F.xxhash64("_row"), salts, "_rank")

@@ -426,6 +426,22 @@ def test_toxicity_learns_stems_and_reads_disguises(spark, empty):
     assert toxicity.toxicity(empty.select("doc_id", "text"), labels).count() == 0
 
 
+def test_toxicity_reads_inner_separators_and_doubled_letters():
+    plain = ["the", "house", "green", "river", "walks", "along", "stone", "idle", "moss", "other", "moron", "morons", "idiot"]
+    counts = Counter()
+    for w in plain:
+        c = toxicity._codes(w)
+        for a, b, d in zip(c, c[1:], c[2:]):
+            counts[(a * toxicity.ALPHABET + b) * toxicity.ALPHABET + d] += 1000
+    read = toxicity.Restorer(toxicity.log_model(list(counts.items()))).token
+    for tok, word in [("mo-ron", "moron"), ("mo.ro.ns", "morons"), ("i-diot", "idiot"), ("mooron", "moron"), ("idiiot", "idiot"),
+                      ("mor--on", "moron"), ("mo_ron", "moron"), ("moorroon", "moron"), ("m.oro.n", "moron"), ("(id'iot),", "idiot")]:
+        assert read(tok) == (word,), tok
+    for tok in ("green-river", "stone.the", "walks/along", "moss--idle"):
+        assert read(tok) == tuple(re.findall("[a-z]+", tok))
+    assert [read(w) for w in plain] == [(w,) for w in plain]
+
+
 def test_rollup_is_idempotent(spark, docs, tmp_path):
     r = rollups.Rollup(spark, f"file://{tmp_path}")
     assert r.commit("a", rollups.signed(docs, "words-1", 1)) and not r.commit("a", rollups.signed(docs, "words-1", 1))

@@ -1,11 +1,11 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A token that a writer may have disguised (letters replaced by digits or symbols,
-letters repeated three times or more, letters spaced out) is a lattice: every symbol
-lists the letters it may stand for, a repetition may be one or two letters, a
-separator next to a single letter may be nothing or a word break. Viterbi decoding
-under a character trigram model takes the most likely reading. Tokens without such
-signs have one path, themselves, and skip the decoder.
+A token that a writer may have disguised (letters replaced by digits or symbols, a
+letter repeated three times or more or doubled where the character model expects it
+once, anything between letters) is a lattice: every symbol lists the letters it may
+stand for, a repetition may be one or two letters, a separator may be nothing or a word
+break. Viterbi decoding under a character trigram model takes the most likely reading.
+Tokens without such signs have one path, themselves, and skip the decoder.
 
 Restored words are scored by the evidence of their stems (prefixes of 3 to 6 letters)
 and full forms: the lower confidence bound of the log odds of toxic against clean
@@ -52,9 +52,11 @@ _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _EDGE = ".,;:?\"'()[]{}<>=~^`/\\%&#"
 _TAIL = _EDGE + "!*$|+@-_"
 _TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"([^\W\d_])\1")
 _WORD = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1*", re.S)
 SUBSTITUTE, COLLAPSE, JOIN, BREAK = 0.7, 0.5, 0.2, 1.0   # channel costs, nats
+UNDOUBLE = 4 * COLLAPSE
 
 
 def held_out(doc_id: Column) -> Column:
@@ -121,7 +123,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     for k, r in enumerate(runs):
         c = r[0]
         if c.isalpha():
-            arcs.append([(r, 0.0)] if len(r) == 1 else [(c, COLLAPSE * (4 if len(r) == 2 else 1)),
+            arcs.append([(r, 0.0)] if len(r) == 1 else [(c, UNDOUBLE if len(r) == 2 else COLLAPSE),
                                                         (c + c, 0.0 if len(r) == 2 else COLLAPSE)])
         elif c in LEET and 0 < k < len(runs) - (c in "!*|") or c in LEET and c not in "!*|":
             arcs.append([(x * m, SUBSTITUTE + COLLAPSE * (m != len(r))) for x in LEET[c] for m in {1, min(2, len(r))}])
@@ -129,7 +131,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             arcs.append([(" ", BREAK)])
         else:
             single = any(0 <= j < len(runs) and letters[j] and _piece(runs, letters, j) == 1 for j in (k - 1, k + 1))
-            arcs.append([("", JOIN), (" ", BREAK)] if single else [(" ", 0.0)])
+            arcs.append([("", JOIN), (" ", BREAK if single else 0.0)])
     return arcs
 
 
@@ -168,6 +170,18 @@ def viterbi(token: str, model: np.ndarray) -> str:
     return "".join(reversed(out)).strip()
 
 
+def unlikely_double(word: str, model: np.ndarray) -> bool:
+    """Whether reading some doubled letter once gains at least half of what it costs."""
+    codes, gain = None, 0.0
+    for m in _DOUBLE.finditer(word):
+        if codes is None:
+            codes = _codes(word)
+        k = m.start() + 2  # of the first letter, after two boundaries
+        a, c, d, e = codes[k - 1], codes[k], codes[k + 1], codes[k + 2]
+        gain = max(gain, model[a, c, e] - model[a, c, d] - model[c, d, e])
+    return gain >= UNDOUBLE / 2
+
+
 class Restorer:
     """Words of a text after deobfuscation; readings are cached per token."""
 
@@ -176,7 +190,7 @@ class Restorer:
 
     def token(self, tok: str) -> tuple[str, ...]:
         bare = tok.lstrip(_EDGE).rstrip(_TAIL)
-        if bare.isalpha() and not _TRIPLE.search(bare):  # quicker read than remembered
+        if bare.isalpha() and not _DOUBLE.search(bare):  # quicker read than remembered
             return (bare,)
         got = self.cache.get(tok)
         if got is None:
@@ -191,7 +205,8 @@ class Restorer:
         pieces = _WORD.findall(tok)
         if not pieces:
             return ()
-        signs = _TRIPLE.search(tok) or any(c in LEET for c in tok) or any(len(p) == 1 for p in pieces) and len(pieces) > 2
+        signs = (len(pieces) > 1 or _TRIPLE.search(tok) or any(c in LEET for c in tok)
+                 or unlikely_double(pieces[0], self.model))
         return tuple(viterbi(tok, self.model).split()) if signs else tuple(pieces)
 
     def words(self, text: str) -> set[tuple[str, ...]]:

@@ -55,7 +55,7 @@ def q_rolling_multi(spark, sf):
 
 @query("rolling_large_offset")
 def q_rolling_offset(spark, sf):
-    """Tiny spread on a large offset, daily chunks: part B as frames over chunks."""
+    """Amounts on a large offset, daily chunks: part B as frames over chunks."""
     tx = tb.tx_view(spark, sf).withColumn("amt", F.col("amt") + F.lit(1e6))
     out = rolling_features(tx, id_col="id", time_col="dt", value_col="amt", keys=["card2"],
                            windows_days=[7], chunk_seconds=86400)
@@ -454,8 +454,9 @@ def q_incremental_experiment(spark, sf):
 
 @query("static_grid")
 def q_static_grid(spark, sf):
-    """All twelve static configurations with their result and summary files; the figures
-    depend on the trees, so the rows returned are those of the files without them."""
+    """All twelve static configurations with their result and summary files, trained with
+    2 boosting rounds instead of the preset's 100; the figures depend on the trees, so the
+    rows returned are those of the files without them."""
     data = tb.tx_model_input(spark, sf)
     root = shared_path(spark, "static_grid", unique=True)
     res = ex.require_ok(ex.run_grid(

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import (exact_dedup, lm_score, mixing, packing, pii, quality, rollups, simhash,
-                        suffix_dedup, toxicity)
-from txrisk.llm.common import documents, labels
+from txrisk.llm import (conversations as repairs, exact_dedup, lm_score, mixing, packing, pii, quality,
+                        rollups, simhash, suffix_dedup, topk, toxicity, vector_codes)
+from txrisk.llm.common import conversations, documents, embeddings, labels
 from txrisk.session import ensure_checkpoint_dir, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,34 @@ def op9(spark, sf):
 @query("op10_quality_rules")
 def op10(spark, sf):
     return quality.quality_rules(documents(spark, sf), labels(spark, sf).where("quality = 1"))
+
+
+@query("op11_vector_codes", vector_codes.oracle_sql())
+def op11(spark, sf):
+    return vector_codes.coded_rows(embeddings(spark, sf))
+
+
+@query("op12_conversation_repair")
+def op12(spark, sf):
+    return repairs.repaired_conversations(conversations(spark, sf))
+
+
+@query("op13_exact_top_k", r"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS c_r,
+         list_sum(list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0
+),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, c_r)::INTEGER AS "rank" FROM s
+)
+SELECT query_id, "rank", vec_id, score FROM t WHERE "rank" <= 5
+""")
+def op13(spark, sf):
+    return topk.top_k(embeddings(spark, sf))

@@ -19,7 +19,7 @@ def test_exact_quantiles_with_heavy_ties(spark):
 def test_global_prefix_sum(spark):
     rows = [(float(i), i % 3) for i in range(400)]
     df = spark.createDataFrame(rows, "s double, c long")
-    got = {r["s"]: r["cum_c"] for r in global_prefix_sum(df, "s", ["c"], n_buckets=8).collect()}
+    got = {r["s"]: r["cum_c"] for r in global_prefix_sum(df, "s", ["c"], n_ranges=8).collect()}
     cum = np.cumsum([c for _, c in rows])
     assert all(got[float(i)] == cum[i] for i in range(400))
 
@@ -31,7 +31,6 @@ def test_values_at_ranks_refines_large_buckets(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
     targets = spark.createDataFrame([(r,) for r in (0, 1, 1499, 2998, 2999)], "rank long")
     # tiny max_rows forces several refinement levels
-    got = {r["rank"]: r["value"] for r in values_at_ranks(df, [], "v", targets, n_buckets=4,
-                                                          max_rows=10).collect()}
+    got = {r["rank"]: r["value"] for r in values_at_ranks(df, [], "v", targets, max_rows=10).collect()}
     s = np.sort(vals)
     assert got == {r: pytest.approx(s[r]) for r in (0, 1, 1499, 2998, 2999)}

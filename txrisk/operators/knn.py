@@ -4,8 +4,9 @@ Euclidean distance in double; ties broken by neighbour id; a row is never
 its own neighbour. Plan (pivot partitioning with triangle-inequality pruning,
 after the kNN-join designs of Lu et al., VLDB 2012):
 
-  1. P pivots = the P rows with the smallest hash draw (P is a parameter, so
-     the broadcast pivot matrix is bounded by P x dim).
+  1. P pivots = the P rows with the smallest hash draw. P grows with the square
+     root of the rows, between 32 and ``MAX_PIVOTS`` (or is given), so the broadcast
+     pivot matrix is bounded by MAX_PIVOTS x dim. The assignment is stored once.
   2. Every row joins the cell of its nearest pivot; per cell: count, radius.
   3. For a query q: the k-th neighbour distance is at most the smallest
      d(q, p_c) + r_c whose cumulated cell count reaches k (+1 for q itself);
@@ -27,7 +28,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.draws import draw
-from txrisk.session import ship_package
+from txrisk.session import reliable_checkpoint, ship_package
+
+MAX_PIVOTS = 4096
+PAIRS_DDL = "id long, nn_id long, distance double"
 
 
 def _stack(series) -> np.ndarray:
@@ -45,7 +49,7 @@ def _dist_to(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 
 def knn(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
-        group_col: str | None = None, n_pivots: int = 32, block_size: int = 1024) -> DataFrame:
+        group_col: str | None = None, n_pivots: int | None = None, block_size: int = 1024) -> DataFrame:
     """(id, nn_rank, nn_id, distance): the k nearest other rows of the same group."""
     spark = df.sparkSession
     ship_package(spark)
@@ -53,6 +57,8 @@ def knn(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
     data = df.select(F.col(id_col).cast("long").alias("id"), g.alias("grp"),
                      F.col(vec_col).cast("array<double>").alias("vec"))
 
+    if n_pivots is None:
+        n_pivots = min(MAX_PIVOTS, max(32, int(data.count() ** 0.5)))
     piv_rows = data.orderBy(draw(F.col("id"), "pivot"), "id").limit(int(n_pivots)).select("vec").collect()
     pivots = _stack([r["vec"] for r in piv_rows])
     if pivots.shape[0] == 0:
@@ -69,7 +75,8 @@ def knn(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
                                 "cell": cell.astype("int32"),
                                 "dp": d[np.arange(len(pdf)), cell] if len(pdf) else np.zeros(0)})
 
-    assigned = data.mapInPandas(assign, "id long, grp string, vec array<double>, cell int, dp double")
+    assigned = reliable_checkpoint(
+        data.mapInPandas(assign, "id long, grp string, vec array<double>, cell int, dp double"))
     # Per (group, cell) statistics: at most groups x P rows.
     stats_rows = assigned.groupBy("grp", "cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("dp").alias("r")).collect()
@@ -110,7 +117,8 @@ def knn(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
             if out:
                 yield pd.concat(out, ignore_index=True)
 
-    cand = assigned.mapInPandas(candidates, "id long, grp string, vec array<double>, cell int")
+    cand = reliable_checkpoint(
+        assigned.mapInPandas(candidates, "id long, grp string, vec array<double>, cell int"))
     qcount = cand.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("nq"))
     bsz = int(block_size)
     blocks = spark.createDataFrame(
@@ -130,6 +138,13 @@ def knn(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
         F.pmod(F.xxhash64("id"), F.col("nmb")).cast("int").alias("mb"),
         F.explode(F.sequence(F.lit(0), F.col("nqb") - 1)).alias("qb"))
 
+    keys = ["grp", "cell", "mb", "qb"]
+    part = qside.groupBy(*keys).cogroup(mside.groupBy(*keys)).applyInPandas(nearest_in_blocks(k), PAIRS_DDL)
+    return merge_nearest(part, k)
+
+
+def nearest_in_blocks(k: int):
+    """Kernel of a block pair: the ``k`` nearest members of every query."""
     kk = int(k)
 
     def topk(qpdf: pd.DataFrame, mpdf: pd.DataFrame) -> pd.DataFrame:
@@ -162,9 +177,11 @@ def knn(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
         return pd.DataFrame({"id": pd.Series(rid, dtype="int64"), "nn_id": pd.Series(rnn, dtype="int64"),
                              "distance": pd.Series(rd, dtype="float64")})
 
-    keys = ["grp", "cell", "mb", "qb"]
-    part = qside.groupBy(*keys).cogroup(mside.groupBy(*keys)).applyInPandas(
-        topk, "id long, nn_id long, distance double")
+    return topk
+
+
+def merge_nearest(pairs: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest of the blocks' winners, by (distance, id)."""
     w = Window.partitionBy("id").orderBy("distance", "nn_id")
-    return part.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= kk) \
+    return pairs.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= int(k)) \
         .select("id", "nn_rank", "nn_id", "distance")

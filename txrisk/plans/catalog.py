@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txrisk.functions.ranking import values_at_ranks
 from txrisk.functions.util import round_doubles
 from txrisk.session import ship_package
 from txrisk.operators.rolling import rolling_features
@@ -144,6 +145,21 @@ def q_describe(spark, sf):
                                                    value_col="amt"))
 
 
+@query("ranks_with_nan")
+def q_ranks_with_nan(spark, sf):
+    """Order statistics of a column of which most rows hold one value and some are NaN."""
+    v = (F.when(F.col("card2") == 7, F.lit(float("nan"))).when(F.col("card2") < 90, F.lit(25.0))
+         .otherwise(F.col("amt")))
+    d = tb.tx_view(spark, sf).select("product", v.alias("v"))
+    n = d.groupBy("product").agg(F.count(F.lit(1)).alias("n"))
+    steps = F.explode(F.sequence(F.lit(0), F.lit(20)))
+    targets = n.select("product", "n", steps.alias("i")).select(
+        "product", F.floor((F.col("n") - 1) * F.col("i") / 20).cast("long").alias("rank")).distinct()
+    got = values_at_ranks(d, ["product"], "v", targets, max_rows=64)
+    return got.select("product", "rank", F.isnan("value").alias("is_nan"),
+                      F.round(F.nanvl("value", F.lit(None).cast("double")), 6).alias("value"))
+
+
 @query("top_values")
 def q_top_values(spark, sf):
     return profile.top_values(tb.tx_view(spark, sf), ["product", "card2", "addr1"], 5)
@@ -243,6 +259,7 @@ def q_batch_error(spark, sf):
 
 
 # ---------------------------------------------------------------- sampling and kNN
+from txrisk.operators import knn_index  # noqa: E402
 from txrisk.operators import sampling as smp  # noqa: E402
 from txrisk.operators.knn import knn  # noqa: E402
 
@@ -276,6 +293,20 @@ def q_knn3_by_label(spark, sf):
     return round_doubles(knn(v, 3, id_col="id", vec_col="vec", group_col="label", n_pivots=8))
 
 
+@query("knn5_lsh")
+def q_knn5_lsh(spark, sf):
+    """Hash index mode: near rows of every row."""
+    return round_doubles(knn_index.lsh_knn(tb.vectors_view(spark, sf), 5, id_col="id", vec_col="vec"))
+
+
+@query("knn5_lsh_recall")
+def q_knn5_lsh_recall(spark, sf):
+    """Its recall on the rows whose id is divisible by 100, against all rows."""
+    v = tb.vectors_view(spark, sf)
+    got = knn_index.recall(knn_index.lsh_knn(v, 5, id_col="id", vec_col="vec"), knn_index.nearest_of_queries(v, 5))
+    return got.select("queries", "neighbours", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 @query("smote")
 def q_smote(spark, sf):
     s = smp.smote(_vectors_y(spark, sf), label_col="y", id_col="id", vec_col="vec", k=5)

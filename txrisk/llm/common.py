@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -72,6 +76,15 @@ def rank_in_groups(df: DataFrame, keys: list[str], order: list[Column], salt: Co
             .drop("_salt", "_before"))
 
 
+def give_back() -> None:
+    """Return a Python worker's freed memory to the system: the worker outlives its task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc
+    if trim:
+        trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 

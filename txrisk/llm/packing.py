@@ -33,13 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txrisk.llm.common import n_salts, rank_in_groups, text_of, written
+from txrisk.llm.common import give_back, n_salts, rank_in_groups, text_of, written
 
 LENGTH = 2048
 GRAIN = 4
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_PIECES = 400_000   # pieces a task remembers
+CACHE_BYTES = 96 << 20   # memory of a task for pieces
+PIECE_BYTES = 220        # of a piece besides its letters and ids
+LINE = 1024              # new words tokenised at once
 MAX_PIVOTS = 4_000   # what rounding does not cover is fitted in any case
 GAP = 5e-4           # relative gap to a lower bound at which pricing ends
 BLEND = 0.05         # share of the duals in the stabilised prices
@@ -79,17 +81,21 @@ class PieceIds:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tok = Tokenizer.from_file(public_tokenizers.path(name))
-        self.runs = Tokenizer.from_file(public_tokenizers.path(name))  # pieces need no second normalising and cutting
-        self.runs.normalizer = normalizers.Sequence([])
-        self.runs.pre_tokenizer = pre_tokenizers.Sequence(
+        self.tok.model._resize_cache(0)    # a piece comes once
+        self.own = self.tok.normalizer, self.tok.pre_tokenizer
+        # pieces need no second normalising and cutting
+        self.plain = normalizers.Sequence([]), pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r"[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]", *added]))
         self.mark = self.tok.encode(self.MARK, add_special_tokens=False).ids
         self.clear()
 
+    def _use(self, parts: tuple) -> None:
+        self.tok.normalizer, self.tok.pre_tokenizer = parts
+
     def clear(self):
-        self.at = _Numbers()
+        self.at, self.bytes = _Numbers(), 0
         self.flat = np.empty(0, "<u4")
         self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
 
@@ -107,26 +113,32 @@ class PieceIds:
     def _learn(self):
         """Ids of the new pieces: runs of letters go in long lines, cut at the marks."""
         new, self.at.new = self.at.new, []
-        runs = [w for w in new if self.LETTERS.match(w)] if len(self.mark) == 1 else []
-        ids: dict[str, np.ndarray] = {}
-        for i in range(0, len(runs), 1024):
-            part = runs[i:i + 1024]
-            line = np.array(self._ids(self.runs, [f" {self.MARK} ".join(part)])[0], "<u4")
-            ends = np.append(np.flatnonzero(line == self.mark[0]), len(line)).tolist()
-            ids.update((w, line[x:y]) for w, x, y in zip(part, [0, *[e + 1 for e in ends]], ends))
-        others = [w for w in new if w not in ids]
-        ids.update((w, np.array(e, "<u4")) for w, e in zip(others, self._ids(self.tok, others)))
-        size = np.fromiter((len(ids[w]) for w in new), np.int64, len(new))
-        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
-        self.size = np.concatenate((self.size, size))
-        self.flat = np.concatenate((self.flat, *[ids[w] for w in new]))
-
-    @staticmethod
-    def _ids(tok, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        run = np.fromiter((self.LETTERS.match(w) is not None for w in new), bool, len(new)) & (len(self.mark) == 1)
+        runs, others = [w for w, r in zip(new, run) if r], [w for w, r in zip(new, run) if not r]
+        flat, sizes = [], []
+        self._use(self.plain)
+        for i in range(0, len(runs), LINE):
+            line = np.array(self._ids([f" {self.MARK} ".join(runs[i:i + LINE])])[0], "<u4")
+            marks = np.flatnonzero(line == self.mark[0])
+            sizes.append(np.diff(np.concatenate(([-1], marks, [len(line)]))) - 1)
+            flat.append(np.delete(line, marks))
+        self._use(self.own)
+        for ids in self._ids(others):
+            sizes.append(np.array([len(ids)]))
+            flat.append(np.array(ids, "<u4"))
+        got = np.concatenate(sizes)
+        order = np.concatenate((np.flatnonzero(run), np.flatnonzero(~run)))
+        start, size = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        start[order], size[order] = len(self.flat) + np.cumsum(got) - got, got
+        self.start, self.size = np.concatenate((self.start, start)), np.concatenate((self.size, size))
+        self.flat = np.concatenate((self.flat, *flat))
+        self.bytes += sum(map(len, new)) + PIECE_BYTES * len(new) + 4 * int(got.sum())
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.at) > CACHE_PIECES:
+        if self.bytes > CACHE_BYTES:
             self.clear()
         numbers = []
         for t in texts:
@@ -150,8 +162,8 @@ _KNOWN: dict[str, PieceIds] = {}
 
 
 def known_pieces(tokenizer: str) -> PieceIds:
-    """The Python worker's memory of ids: it outlives a task, as this module does. (A
-    closure that reads ``_KNOWN`` itself would be sent an empty copy with every task.)"""
+    """The Python worker's tokenizer: it outlives a task, as this module does, but the pieces
+    do not. (A closure that reads ``_KNOWN`` itself would be sent an empty copy with every task.)"""
     if tokenizer not in _KNOWN:
         _KNOWN[tokenizer] = PieceIds(tokenizer)
     return _KNOWN[tokenizer]
@@ -177,6 +189,8 @@ def token_table(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = LENGT
                      pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(full + np.cumsum(q) - q)],
                     ["_row", "doc_id", "_n", "_ids", "_full"])
                 row, full = row + len(ids), full + int(q.sum())
+        known.clear()   # the worker lives on, its memory is the next task's
+        give_back()
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(
         run, f"_row long, doc_id {id_type}, _n long, _ids binary, _full long")

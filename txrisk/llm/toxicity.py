@@ -13,17 +13,18 @@ documents. A small logistic model turns a document's strongest evidence into a s
 
 The character model counts trigrams over all documents. The labels used are a sample
 of at most ``LABELLED_ROWS`` rows (those whose ids hash lowest), which bounds
-everything that reaches the driver; the character table has at most ``ALPHABET``
-cubed rows, the evidence table at most ``MAX_STEMS``. Labels, language, source and id
-are never inputs of a score.
+everything that reaches the driver: the character table has at most ``ALPHABET``
+cubed rows, the evidence table the stems of that sample that speak for a toxic text.
+Labels, language, source and id are never inputs of a score.
+
+A token of any length is decoded whole (time and memory grow with its length). A text
+without tokens has no evidence and gets the score of that; a null text counts as empty.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from txrisk.llm.common import text_of, written
+from txrisk.llm.common import give_back, text_of, written
 
 LABELLED_ROWS = 20_000
-MAX_STEMS = 100_000
 CUT = 0.3
 STEMS = (3, 4, 5, 6)
-STEM_BITS = 24
-CACHE = 100_000      # decoded readings a task remembers
-VALUES = 250_000     # values of readings a task remembers
+CACHE = 300_000      # tokens a task remembers
+CACHE_CHARS = 16 << 20   # and their characters
+PIECE = 1 << 20      # characters counted at once
 HIT = 1.5
 
 #: Letters a symbol may stand for (fixed values).
@@ -55,6 +55,7 @@ _TRIPLE = re.compile(r"(.)\1\1")
 _DOUBLE = re.compile(r"([^\W\d_])\1")
 _WORD = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1*", re.S)
+_GAP = re.compile(r"\s+")
 SUBSTITUTE, COLLAPSE, JOIN, BREAK = 0.7, 0.5, 0.2, 1.0   # channel costs, nats
 UNDOUBLE = 4 * COLLAPSE
 
@@ -73,29 +74,75 @@ def _codes(word: str) -> list[int]:
     return [0, 0, *[_CODE.get(c, other) for c in word], 0]
 
 
+class CharKinds:
+    """Letter code and kind (letter, edge, space, other) of every character met so far."""
+
+    LETTER, EDGE, SPACE, OTHER, NEW = range(5)
+
+    def __init__(self):
+        self.code = np.zeros(0x110000, np.int64)
+        self.kind = np.full(0x110000, self.NEW, np.uint8)
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        at = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        kind = self.kind[at]
+        if (kind == self.NEW).any():
+            for p in np.unique(at[kind == self.NEW]).tolist():
+                c = chr(p)
+                self.kind[p] = (self.LETTER if c.isalpha() else self.SPACE if c.isspace()
+                                else self.EDGE if c in _EDGE else self.OTHER)
+                self.code[p] = _CODE.get(c, ALPHABET - 1) if c.isalpha() else 0
+            kind = self.kind[at]
+        return self.code[at], kind
+
+
+def add_trigrams(table: np.ndarray, text: str, kinds: CharKinds) -> None:
+    """Count the trigrams of a text's plain words: tokens that are one run of letters
+    once edge characters are gone."""
+    code, kind = kinds.of(f"\n\n{text.lower()}\n")
+    letter, space = kind == kinds.LETTER, kind == kinds.SPACE
+    token = np.cumsum(~space & np.concatenate(([True], space[:-1])))
+    first = letter & ~np.concatenate(([False], letter[:-1]))
+    runs = np.bincount(token[first], minlength=int(token[-1]) + 1)
+    odd = np.bincount(token[kind == kinds.OTHER], minlength=len(runs))
+    plain = letter & ((runs == 1) & (odd == 0))[token]
+    code = np.where(plain, code, 0)
+    at = np.flatnonzero(plain)
+    last = code[at - 1]
+    before = np.where(last == 0, 0, code[at - 2])
+    end = at[~plain[at + 1]]
+    table += np.bincount((before * ALPHABET + last) * ALPHABET + code[at], minlength=len(table))
+    table += np.bincount((code[end - 1] * ALPHABET + code[end]) * ALPHABET, minlength=len(table))
+
+
+def _stretches(texts: Iterator[str]) -> Iterator[str]:
+    """The texts in stretches of about ``PIECE`` characters, cut at white space."""
+    held, size = [], 0
+    for t in texts:
+        at = 0
+        while len(t) - at > PIECE:
+            cut = _GAP.search(t, at + PIECE)
+            if not cut:
+                break
+            yield t[at:cut.start()]
+            at = cut.end()
+        held.append(t[at:])
+        size += len(t) - at
+        if size > PIECE:
+            yield "\n".join(held)
+            held, size = [], 0
+    yield "\n".join(held)
+
+
 def trigram_counts(docs: DataFrame) -> DataFrame:
     """(``t``, ``n``): trigrams of the plain words of all documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(ALPHABET ** 3, np.int64)
-        words: Counter = Counter()
-
-        def spend():
-            for w, n in words.items():
-                w = w.strip(_EDGE)
-                if w.isalpha():
-                    c = _codes(w)
-                    for a, b, d in zip(c, c[1:], c[2:]):
-                        table[(a * ALPHABET + b) * ALPHABET + d] += n
-            words.clear()
-
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                words.update(text.lower().split())
-                if len(words) > CACHE:
-                    spend()
-        spend()
+        table, kinds = np.zeros(ALPHABET ** 3, np.int64), CharKinds()
+        for stretch in _stretches(t for b in batches for t in b.column(0).to_pylist()):
+            add_trigrams(table, stretch, kinds)
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(table[at])], ["t", "n"])
+        give_back()
 
     return (docs.select(text_of().alias("text")).mapInArrow(run, "t long, n long")
             .groupBy("t").agg(F.sum("n").alias("n")))
@@ -170,111 +217,126 @@ def viterbi(token: str, model: np.ndarray) -> str:
     return "".join(reversed(out)).strip()
 
 
-def unlikely_double(word: str, model: np.ndarray) -> bool:
-    """Whether reading some doubled letter once gains at least half of what it costs."""
-    codes, gain = None, 0.0
-    for m in _DOUBLE.finditer(word):
-        if codes is None:
-            codes = _codes(word)
-        k = m.start() + 2  # of the first letter, after two boundaries
-        a, c, d, e = codes[k - 1], codes[k], codes[k + 1], codes[k + 2]
-        gain = max(gain, model[a, c, e] - model[a, c, d] - model[c, d, e])
-    return gain >= UNDOUBLE / 2
-
-
-class Restorer:
-    """Words of a text after deobfuscation; readings are cached per token."""
-
-    def __init__(self, model: np.ndarray):
-        self.model, self.cache = model, {}
-
-    def token(self, tok: str) -> tuple[str, ...]:
-        bare = tok.lstrip(_EDGE).rstrip(_TAIL)
-        if bare.isalpha() and not _DOUBLE.search(bare):  # quicker read than remembered
-            return (bare,)
-        got = self.cache.get(tok)
-        if got is None:
-            got = self._read(bare)
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            if len(tok) <= 64:
-                self.cache[tok] = got
-        return got
-
-    def _read(self, tok: str) -> tuple[str, ...]:
-        pieces = _WORD.findall(tok)
-        if not pieces:
-            return ()
-        signs = (len(pieces) > 1 or _TRIPLE.search(tok) or any(c in LEET for c in tok)
-                 or unlikely_double(pieces[0], self.model))
-        return tuple(viterbi(tok, self.model).split()) if signs else tuple(pieces)
-
-    def words(self, text: str) -> set[tuple[str, ...]]:
-        """The distinct readings of a text's tokens. Three or more single letters in a
-        row are read together as one spaced token."""
-        toks = text.lower().split()
-        if not toks:
-            return set()
-        one = np.fromiter(map(len, toks), np.int64, len(toks)) == 1
-        if one.sum() >= 3:
-            edge = np.flatnonzero(np.diff(np.concatenate(([0], one, [0]))))
-            toks += [" ".join(toks[a:b]) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a >= 3]
-        return {self.token(t) for t in set(toks)}
-
-
-def stems(word: str) -> list[int]:
-    """Hashed full form and stems of a word."""
-    mask = (1 << STEM_BITS) - 1
-    forms = [f"={word}", *[word[:k] for k in STEMS if len(word) > k]]
-    return [zlib.crc32(f.encode()) & mask for f in forms]
+def double_gain(codes: list[int], k: int, model: np.ndarray) -> float:
+    """What the character model gains where the letter at ``k``, which its neighbour
+    repeats, is read once. The reading costs ``UNDOUBLE``; beside no other choice, that
+    decides the best path."""
+    a, c, d, e = codes[k - 1], codes[k], codes[k + 1], codes[k + 2]
+    return model[a, c, e] - model[a, c, d] - model[c, d, e]
+
+
+def undoubled(word: str, model: np.ndarray) -> str:
+    """The most likely reading of a word whose only signs are doubled letters, none of
+    which enters the lattice unless reading one once gains at least half of its cost."""
+    at = [m.start() for m in _DOUBLE.finditer(word)]
+    codes = _codes(word)
+    gains = [double_gain(codes, k + 2, model) for k in at]   # after two boundaries
+    if not gains or max(gains) < UNDOUBLE / 2:
+        return word
+    if len(at) > 1:
+        return viterbi(word, model)
+    return word[:at[0]] + word[at[0] + 1:] if gains[0] >= UNDOUBLE else word
+
+
+def reading(tok: str, model: np.ndarray) -> str:
+    """A token's words after deobfuscation, joined by spaces."""
+    bare = tok.lstrip(_EDGE).rstrip(_TAIL)
+    if bare.isalpha():
+        if not _DOUBLE.search(bare):
+            return bare
+        return undoubled(bare, model) if not _TRIPLE.search(bare) else viterbi(bare, model)
+    pieces = _WORD.findall(bare)
+    if not pieces:
+        return ""
+    if len(pieces) > 1 or _TRIPLE.search(bare) or any(c in LEET for c in bare):
+        return " ".join(viterbi(bare, model).split())
+    return undoubled(pieces[0], model)
+
+
+def tokens(text: str) -> set[str]:
+    """The distinct tokens of a text. Three or more single letters in a row are also one
+    spaced token."""
+    toks = text.lower().split()
+    if not toks:
+        return set()
+    one = np.fromiter(map(len, toks), np.int64, len(toks)) == 1
+    out = set(toks)
+    if one.sum() >= 3:
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], one, [0]))))
+        out.update(" ".join(toks[a:b]) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a >= 3)
+    return out
+
+
+class Readings(dict):
+    """Token -> its reading. ``new`` is called with a token's reading when it comes first;
+    everything is forgotten between texts once it passes the bounds."""
+
+    def __init__(self, model: np.ndarray, new):
+        super().__init__()
+        self.model, self.new, self.chars = model, new, 0
+
+    def __missing__(self, tok: str) -> str:
+        words = reading(tok, self.model)
+        self.new(words)
+        self.chars += len(tok)
+        self[tok] = words
+        return words
+
+    def of(self, text: str) -> set[str]:
+        return set(map(self.__getitem__, tokens(text)))
+
+    def full(self) -> bool:
+        return len(self) > CACHE or self.chars > CACHE_CHARS
+
+
+def stems(word: str) -> list[str]:
+    """Full form (marked) and stems of a word."""
+    return [f"={word}", *[word[:k] for k in STEMS if len(word) > k]]
 
 
 # ---------------------------------------------------------------- training
 class ToxicityModel:
     """Character model, stem evidence and the logistic weights."""
 
-    def __init__(self, chars: np.ndarray, evidence: dict[int, float], weights: np.ndarray):
+    def __init__(self, chars: np.ndarray, evidence: dict[str, float], weights: np.ndarray):
         self.chars, self.evidence, self.weights = chars, evidence, weights
-        self.restorer = None
-        self.value: dict[tuple[str, ...], float] = {}
+        self.heads = {s[:STEMS[0]] for s in evidence if s[0] != "="}
+        self.readings, self.worth = None, {}
 
     def __getstate__(self):
-        return {"chars": self.chars, "evidence": self.evidence, "weights": self.weights, "restorer": None, "value": {}}
+        return {**self.__dict__, "readings": None, "worth": {}}
+
+    def _weigh(self, words: str) -> None:
+        get, v = self.evidence.get, 0.0
+        for w in words.split():
+            v = max(v, get("=" + w, 0.0))
+            if w[:STEMS[0]] in self.heads:
+                v = max(v, *[get(s, 0.0) for s in stems(w)])
+        if v > 0:
+            self.worth[words] = v
+
+    def forget(self) -> None:
+        self.readings, self.worth = None, {}
 
     def features(self, text: str) -> list[float]:
         """Bias, strongest and second evidence, number of strong words, length."""
-        if self.restorer is None:
-            self.restorer = Restorer(self.chars)
-        if len(self.value) > VALUES:
-            self.value.clear()
-        vals = []
-        for words in self.restorer.words(text):
-            v = self.value.get(words)
-            if v is None:
-                get = self.evidence.get
-                v = max((get(s, 0.0) for w in words for s in stems(w)), default=0.0)
-                self.value[words] = v
-            vals.append(v)
-        top = sorted((v for v in vals if v > 0), reverse=True)
+        if self.readings is None or self.readings.full():
+            self.forget()
+            self.readings = Readings(self.chars, self._weigh)
+        found = self.readings.of(text)
+        top = sorted((self.worth[w] for w in found & self.worth.keys()), reverse=True)
         return [1.0, top[0] if top else 0.0, top[1] if len(top) > 1 else 0.0,
-                math.log1p(sum(v > HIT for v in top)), math.log1p(len(vals)) / 8]
+                math.log1p(sum(v > HIT for v in top)), math.log1p(len(found)) / 8]
 
     def score(self, text: str) -> float:
         return float(1 / (1 + np.exp(-np.clip(np.dot(self.weights, self.features(text)), -30, 30))))
 
 
-def _evidence(rows, folds: tuple[str, ...], totals: dict[str, int]) -> dict[int, float]:
-    """Lower confidence bound (95 %) of the log odds of each stem, where positive."""
-    pos = sum(totals[f"{f}1"] for f in folds) + 1.0
-    neg = sum(totals[f"{f}0"] for f in folds) + 1.0
-    out = {}
-    for r in rows:
-        a = sum(r[f"{f}1"] for f in folds) + 0.5
-        b = sum(r[f"{f}0"] for f in folds) + 0.5
-        z = math.log(a / pos) - math.log(b / neg) - 1.64 * math.sqrt(1 / a + 1 / b)
-        if z > 0:
-            out[r["s"]] = z
-    return out
+def _bound(folds: tuple[str, ...], totals: dict[str, int]) -> Column:
+    """Lower confidence bound (95 %) of a stem's log odds."""
+    pos, neg = (math.log(sum(totals[f"{f}{t}"] for f in folds) + 1.0) for t in (1, 0))
+    a, b = (sum((F.col(f"{f}{t}") for f in folds), F.lit(0.5)) for t in (1, 0))
+    return F.log(a) - pos - F.log(b) + neg - 1.64 * F.sqrt(1 / a + 1 / b)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 50) -> np.ndarray:
@@ -304,15 +366,21 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
                     "toxic", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Restorer(chars)
+        known = Readings(chars, lambda words: None)
         for b in batches:
-            got = [sorted({s for ws in reader.words(t) for w in ws for s in stems(w)}) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.int64()))],
+            got = []
+            for t in b.column(2).to_pylist():
+                got.append(sorted({s for words in known.of(t) for w in words.split() for s in stems(w)}))
+                if known.full():
+                    known = Readings(chars, known.new)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.string()))],
                                              ["fold", "toxic", "stems"])
+        known.clear()
+        give_back()
 
     kind = lambda f, t: (F.col("fold") == f) & (F.col("toxic") == t)
     names = {"a0": (0, 0), "a1": (0, 1), "b0": (1, 0), "b1": (1, 1)}
-    read = written(spark, rows.mapInArrow(run, "fold int, toxic int, stems array<long>"), "toxic_stems")
+    read = written(spark, rows.mapInArrow(run, "fold int, toxic int, stems array<string>"), "toxic_stems")
     totals = read.agg(*[F.count(F.when(kind(*v), 1)).alias(k) for k, v in names.items()]).head().asDict()
     n_pos, n = totals["a1"] + totals["b1"], sum(totals.values())
     if not n_pos or n_pos == n:
@@ -321,8 +389,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
         return ToxicityModel(chars, {}, np.array([odds, 0, 0, 0, 0.0]))
     table = (read.select("fold", "toxic", F.explode("stems").alias("s")).groupBy("s")
              .agg(*[F.count(F.when(kind(*v), 1)).alias(k) for k, v in names.items()])
-             .where("a1 + b1 >= 2").orderBy((F.col("a1") + F.col("b1")).desc(), "s").limit(MAX_STEMS).collect())
-    half, every = _evidence(table, ("a",), totals), _evidence(table, ("a", "b"), totals)
+             .where("a1 + b1 >= 2").select("s", _bound(("a",), totals).alias("half"), _bound(("a", "b"), totals).alias("every"))
+             .where("half > 0 or every > 0").collect())      # stems of at most labelled_rows rows
+    half, every = ({r["s"]: r[k] for r in table if r[k] > 0} for k in ("half", "every"))
 
     # The logistic weights come from the fold whose labels the evidence has not seen.
     half_model = ToxicityModel(chars, half, np.zeros(5))
@@ -332,6 +401,8 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
         for b in batches:
             x = [half_model.features(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
+        half_model.forget()
+        give_back()
 
     got = seen.mapInArrow(features, "toxic int, x array<double>").collect()  # at most labelled_rows rows
     x, y = np.array([r["x"] for r in got]), np.array([r["toxic"] for r in got], float)
@@ -349,8 +420,8 @@ def add_scores(docs: DataFrame, model: ToxicityModel, name: str = "score") -> Da
         for b in batches:
             scores = [m.score(t or "") for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], [*b.schema.names, name])
-        m.restorer = None  # the worker lives on, its memory is the next task's
-        m.value.clear()
+        m.forget()  # the worker lives on, its memory is the next task's
+        give_back()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 

@@ -35,19 +35,21 @@ def digest(text: Column) -> Column:
 
 
 def heavy_winners(rows: DataFrame, heavy_min: int = HEAVY_MIN) -> DataFrame:
-    """(``_digest``, ``_keep_id``, ``_keep_n``, ``_size``) of the frequent digests of
-    ``rows`` (``_id``, ``_n``, ``_digest``): at most ``SHARDS * TOP`` rows."""
+    """(``_digest``, ``_keep_id``, ``_keep_n``, ``_keep_row``, ``_size``) of the frequent digests of
+    ``rows`` (``_id``, ``_n``, ``_digest``, ``_row``): at most ``SHARDS * TOP`` rows. The
+    winner comes from an aggregate with map-side combining, row number last, so any number
+    of equal rows leaves one."""
     shard = F.conv(F.substring("_digest", 1, 4), 16, 10).cast("int") % SHARDS
     found = (rows.groupBy(shard.alias("_shard"))
              .agg(F.expr(f"approx_top_k(_digest, {TOP}, {TRACKED})").alias("_top"))
              .select(F.explode("_top").alias("_top"))
              .where(F.col("_top.count") >= heavy_min)
              .select(F.col("_top.item").alias("_digest")))
-    first = F.min(F.struct(-F.col("_n"), F.col("_id").isNull(), F.col("_id"), F.col("_n")))
+    first = F.min(F.struct(-F.col("_n"), F.col("_id").isNull(), F.col("_id"), F.col("_row"), F.col("_n")))
     return (rows.join(F.broadcast(found), "_digest")
             .groupBy("_digest").agg(first.alias("_w"), F.count(F.lit(1)).alias("_size"))
             .select("_digest", F.col("_w._id").alias("_keep_id"), F.col("_w._n").alias("_keep_n"),
-                    "_size"))
+                    F.col("_w._row").alias("_keep_row"), "_size"))
 
 
 def exact_groups(docs: DataFrame, heavy_min: int = HEAVY_MIN) -> DataFrame:
@@ -59,39 +61,37 @@ def exact_groups(docs: DataFrame, heavy_min: int = HEAVY_MIN) -> DataFrame:
     """
     spark = docs.sparkSession
     text = text_of()
-    rows = written(spark, docs.select(F.col("doc_id").alias("_id"), F.length(text).alias("_n"),
-                                      digest(text).alias("_digest")), "exact_digests")
+    rows = written(spark, docs.select(F.col("doc_id").alias("_id"), F.length(text).alias("_n"), digest(text).alias("_digest"),
+                                      F.monotonically_increasing_id().alias("_row")), "exact_digests")
     heavy = written(spark, heavy_winners(rows, heavy_min), "exact_heavy")
-    split = rows.join(F.broadcast(heavy), "_digest", "left")
-    wins = F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_n") == F.col("_keep_n"))
-
     by_digest = Window.partitionBy("_digest")
-    ranked = by_digest.orderBy(F.col("_n").desc(), F.col("_id").asc_nulls_last())
+    ranked = by_digest.orderBy(F.col("_n").desc(), F.col("_id").asc_nulls_last(), "_row")
     out = [F.col("_id").alias("doc_id"), F.col("_keep_id").alias("keep_id"),
            F.col("_size").cast("long").alias("group_size"), F.col("_kept").alias("kept"),
            F.col("_digest").alias("text_sha256")]
-    losers = split.where(F.col("_size").isNotNull() & ~wins).withColumn("_kept", F.lit(False))
-    winners = (split.where(F.col("_size").isNotNull() & wins)
-               .withColumn("_kept", F.row_number().over(ranked) == 1))
+    frequent = (rows.join(F.broadcast(heavy), "_digest")
+                .withColumn("_kept", F.col("_row") == F.col("_keep_row")))
     rest = (rows.join(F.broadcast(heavy.select("_digest")), "_digest", "left_anti")
             .withColumn("_kept", F.row_number().over(ranked) == 1)
             .withColumn("_keep_id", F.first("_id").over(ranked))
             .withColumn("_size", F.count(F.lit(1)).over(by_digest)))
-    return (losers.select(*out).unionByName(winners.select(*out)).unionByName(rest.select(*out)))
+    return frequent.select(*out).unionByName(rest.select(*out))
 
 
 def drop_exact_copies(docs: DataFrame, heavy_min: int = HEAVY_MIN) -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` does not keep, all columns as
-    they were. Rows of a frequent digest go map-side; one shuffle carries the rest."""
-    spark, cols = docs.sparkSession, docs.columns
+    """``docs`` without the rows that ``exact_groups`` does not keep (of rows that tie in
+    length and id, any one stays), all columns as they were, whatever their names. Rows of
+    a frequent digest go map-side, down to one per task; one shuffle carries the rest."""
+    spark = docs.sparkSession
     text = text_of()
-    d = docs.withColumn("_n", F.length(text)).withColumn("_digest", digest(text))
-    narrow = written(spark, d.select(F.col("doc_id").alias("_id"), "_n", "_digest"), "exact_digests")
+    narrow = written(spark, docs.select(F.col("doc_id").alias("_id"), F.length(text).alias("_n"), digest(text).alias("_digest"),
+                                        F.lit(0).alias("_row")), "exact_digests")
     heavy = written(spark, heavy_winners(narrow, heavy_min), "exact_heavy")
-    ranked = Window.partitionBy("_digest").orderBy(F.col("_n").desc(),
-                                                   F.col("doc_id").asc_nulls_last())
-    return (d.join(F.broadcast(heavy), "_digest", "left")
-            .where(F.col("_size").isNull() | (F.col("doc_id").eqNullSafe(F.col("_keep_id"))
-                                              & (F.col("_n") == F.col("_keep_n"))))
-            .withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1")
-            .select(*cols))
+    d = docs.select(F.struct("*").alias("_doc"), F.length(text).alias("_n"), digest(text).alias("_digest"))
+    ranked = Window.partitionBy("_digest").orderBy(F.col("_n").desc(), F.col("_doc.doc_id").asc_nulls_last())
+    wins = F.col("_doc.doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_n") == F.col("_keep_n"))
+    frequent = (d.join(F.broadcast(heavy), "_digest").where(wins)
+                .groupBy("_digest").agg(F.first("_doc").alias("_doc")))
+    rest = (d.join(F.broadcast(heavy.select("_digest")), "_digest", "left_anti")
+            .withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1"))
+    return frequent.select("_doc.*").unionByName(rest.select("_doc.*"))

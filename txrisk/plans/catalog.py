@@ -396,6 +396,51 @@ def q_typed_csv(spark, sf):
                      "card1", "card2", "addr1")
 
 
+@query("typed_csv_columns")
+def q_typed_csv_columns(spark, sf):
+    """All declared columns of a scan with rejects: per column its cells, their sum (for
+    categories the number of 'T') and its malformed cells."""
+    path, schema = shared_path(spark, "csv_columns", unique=True), ingest.transaction_schema()
+    tb.wide_csv_cells(spark, sf, schema).write.option("header", True).option("escape", '"').csv(path)
+    rows, rejects = ingest.read_with_rejects(spark, path, schema)
+    per = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        value = (c == "T").cast("double") if f.dataType.simpleString() == "string" else c.cast("double")
+        per.append(F.struct(F.lit(f.name).alias("column"), F.count(c).alias("cells"),
+                            F.coalesce(F.sum(value), F.lit(0.0)).alias("total")))
+    found = rows.agg(F.array(*per).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    bad = rejects.where(F.col("file").contains("csv_columns")).groupBy("column").agg(
+        F.count(F.lit(1)).alias("rejects"), F.min("text").alias("first_reject"), F.countDistinct("row").alias("reject_rows"))
+    return round_doubles(found.join(bad, "column", "left").select(
+        "column", "cells", "total", F.coalesce("rejects", F.lit(0)).alias("rejects"),
+        F.coalesce("reject_rows", F.lit(0)).alias("reject_rows"), "first_reject"), 2)
+
+
+@query("prepare_chain")
+def q_prepare_chain(spark, sf):
+    """Two CSV files -> join -> prepare -> store -> split, three times: without the last day, the
+    same again, and with it. ``written`` lists the partitions each refresh wrote."""
+    root = shared_path(spark, "prepare_chain", unique=True)
+    tx, day = tb.tx_transactions(spark, sf), F.floor((F.col("TransactionDT") - F.lit(0)) / 86400)
+    last = tx.select(F.max(day)).scalar()
+    files = f"{root}/train_transaction.csv"
+    csv = lambda df, path: df.write.mode("append").option("header", True).csv(path)
+    csv(tx.where(day < last), files)
+    csv(tb.identity_csv_cells(spark, sf), f"{root}/train_identity.csv")
+    store = ingest.PreparedStore(spark, f"{root}/store")
+    written = []
+    for step in range(3):
+        if step == 2:
+            csv(tx.where(day == last), files)
+        written.append(len(store.refresh(ingest.load(spark, root, absent="skip"))))
+    train, test = prep.split_train_test(store.read(), offline_weeks=2)
+    out = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    return round_doubles(out.select(
+        "TransactionID", "isFraud", "TransactionDay", "TimeDay", "Cents", "ProductCD", "addr1", "id_01", "id_12", "DeviceType",
+        "side", F.lit(",".join(map(str, written))).alias("written")))
+
+
 # ---------------------------------------------------------------- streaming
 from txrisk.functions.time import add_time_features  # noqa: E402
 from txrisk.streaming import daily as sdaily  # noqa: E402

@@ -423,3 +423,47 @@ FROM r JOIN t ON r.product = t.product AND r.rank = t.want"""
 
 SQL["knn5_lsh_recall"] = """SELECT count(*) AS queries, (count(*) * 5)::BIGINT AS neighbours, true AS recall_reached
 FROM embeddings WHERE vec_id % 100 = 0"""
+
+
+def _csv_columns_sql() -> str:
+    """Cells, sum and malformed cells of every declared column, from the rules of the CSV's cells."""
+    own = {"TransactionID": "id", "isFraud": "y", "TransactionDT": "dt", "TransactionAmt": "amt", "ProductCD": None,
+           "card1": "card1", "card2": "card2", "addr1": "addr1"}
+    names = ["TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "ProductCD", "card1", "card2", "card3", "card4",
+             "card5", "card6", "addr1", "addr2", "dist1", "dist2", "P_emaildomain", "R_emaildomain"]
+    names += [f"{p}{i}" for p, n in (("C", 14), ("D", 15), ("M", 9), ("V", 339)) for i in range(1, n + 1)]
+    text = {"ProductCD", "card4", "card6", "P_emaildomain", "R_emaildomain", *[f"M{i}" for i in range(1, 10)]}
+    whole = {"TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "card1"}
+    parts = []
+    for j, n in enumerate(names):
+        if n == "ProductCD":
+            cells, total, bad = "count(product)", "count(*) FILTER (product = 'T')", "false"
+        elif n in text:
+            cells, total, bad = f"count(*) FILTER ((id + {j}) % 3 <> 0)", f"count(*) FILTER ((id + {j}) % 3 = 1)", "false"
+        else:
+            bad = "false" if n in whole else f"(id + {j}) % 1009 = 0"
+            value = own.get(n) or f"CASE WHEN (card2 + {j}) % 7 <> 0 THEN (card2 * {j + 1}) % 1000 + 0.5 END"
+            cells, total = f"count({value}) FILTER (NOT ({bad}))", f"coalesce(sum({value}) FILTER (NOT ({bad})), 0)"
+        parts.append(f"""SELECT '{n}' AS "column", {cells} AS cells, round(({total})::DOUBLE, 2) AS total,
+  count(*) FILTER ({bad}) AS rejects, count(DISTINCT id) FILTER ({bad}) AS reject_rows,
+  min('bad' || (id + {j})) FILTER ({bad}) AS first_reject FROM tx""")
+    once = TX.replace("tx AS (", "tx AS MATERIALIZED (", 1)
+    return f"WITH {once} " + " UNION ALL ".join(parts)
+
+
+SQL["typed_csv_columns"] = _csv_columns_sql()
+
+SQL["prepare_chain"] = f"""WITH {TXD}, i AS (
+  SELECT id, CASE WHEN card2 % 3 <> 0 THEN -card2 END AS id_01,
+         CASE WHEN card2 % 5 <> 0 THEN CASE WHEN card2 % 2 = 0 THEN 'Found' ELSE 'NotFound' END END AS id_12,
+         CASE WHEN card2 % 5 <> 1 THEN CASE WHEN card2 % 2 = 0 THEN 'mobile' ELSE 'desktop' END END AS dev
+  FROM tx WHERE id % 4 = 0),
+j AS (SELECT t.*, i.id_01, i.id_12, i.dev FROM txd t LEFT JOIN i USING (id)),
+p AS (SELECT product, row_number() OVER (ORDER BY product) - 1 AS code FROM (SELECT DISTINCT product FROM tx)),
+n AS (SELECT count(DISTINCT day) AS days FROM txd)
+SELECT id AS TransactionID, y AS isFraud, day AS TransactionDay, seconds_of_day AS TimeDay, cents AS Cents,
+       p.code AS ProductCD, coalesce(addr1, 0)::DOUBLE AS addr1, coalesce(id_01, 0)::DOUBLE AS id_01,
+       CASE id_12 WHEN 'Found' THEN 0 WHEN 'NotFound' THEN 1 ELSE 2 END AS id_12,
+       CASE dev WHEN 'desktop' THEN 0 WHEN 'mobile' THEN 1 ELSE 2 END AS DeviceType,
+       CASE WHEN day < 14 THEN 'train' ELSE 'test' END AS side, (days - 1) || ',0,1' AS written
+FROM j JOIN p USING (product), n"""

@@ -119,3 +119,32 @@ def tx_model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tx_prepared`` without ProductCD: the label is derived from the same event
     type, so that column would give it away."""
     return tx_prepared(spark, sf_dir).drop("ProductCD")
+
+
+def wide_csv_cells(spark: SparkSession, sf_dir: str, schema) -> DataFrame:
+    """``tx_transactions`` as text cells in all declared columns: numbers and categories that follow from the
+    row, null tokens, and now and then a number that is none."""
+    from txrisk.session import reliable_checkpoint
+    d = reliable_checkpoint(tx_transactions(spark, sf_dir))   # the JSON is parsed once, not once a column
+    cols = []
+    for j, f in enumerate(schema.fields):
+        row, k = F.col("TransactionID") + j, F.col("card2")
+        if f.name in d.columns:
+            c = F.col(f.name).cast("string")
+        elif f.dataType.simpleString() == "string":
+            c = F.when(row % 3 == 0, "NA").when(row % 3 == 1, "T").otherwise(F.lit('F "q", ' + f.name))
+        else:
+            c = F.when((k + j) % 7 == 0, "nan").otherwise(((k * (j + 1)) % 1000 + 0.5).cast("string"))
+        if f.dataType.simpleString() == "double" and f.name != "TransactionAmt":
+            c = F.when(row % 1009 == 0, F.concat(F.lit("bad"), row.cast("string"))).otherwise(c)
+        cols.append(c.alias(f.name))
+    return d.select(*cols)
+
+
+def identity_csv_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A side table of every fourth transaction: id_01, id_12, DeviceType."""
+    d = tx_transactions(spark, sf_dir).where(F.col("TransactionID") % 4 == 0)
+    k = F.col("card2")
+    return d.select("TransactionID", F.when(k % 3 != 0, -k).alias("id_01"),
+                    F.when(k % 5 != 0, F.when(k % 2 == 0, "Found").otherwise("NotFound")).alias("id_12"),
+                    F.when(k % 5 != 1, F.when(k % 2 == 0, "mobile").otherwise("desktop")).alias("DeviceType"))

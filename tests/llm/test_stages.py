@@ -146,3 +146,21 @@ def test_piece_memory_is_bounded_and_cleared(monkeypatch):
     assert [x.tolist() for t in texts for x in pieces.encode([t])] == want and pieces.bytes < 10_000
     pieces.clear()
     assert not pieces.at and pieces.bytes == 0 and packing.known_pieces(packing.TOKENIZER) is pieces
+
+
+def test_maintained_totals_hold_every_document(spark):
+    import re
+
+    from txrisk.llm import rollups
+    rows = [(i, f"word{i} a-b 12", f"s{i % 3}" if i % 5 else None, "en" if i % 2 else None) for i in range(60)]
+    rows += [rows[3], rows[3], (None, "x y", None, None), (None, None, "s1", "en"), (70, "", "s1", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("n_docs", F.lit("z"))
+    want = Counter()
+    for _, t, s, g in rows:
+        want[s, g, "docs"] += 1
+        want[s, g, "tokens"] += len(re.findall(rollups.VERSIONS["words-2"], t or ""))
+    got = rollups.maintained_totals(docs).collect()
+    assert {(r["source"], r["lang"]): (r["n_docs"], r["n_tokens"]) for r in got} == {
+        (s, g): (n, want[s, g, "tokens"]) for (s, g, k), n in want.items() if k == "docs"}
+    assert {r["tokenizer"] for r in got} == {"words-2"}
+    assert rollups.maintained_totals(docs.limit(0)).count() == 0

@@ -125,18 +125,20 @@ def wide_csv_cells(spark: SparkSession, sf_dir: str, schema) -> DataFrame:
     """``tx_transactions`` as text cells in all declared columns: numbers and categories that follow from the
     row, null tokens, and now and then a number that is none."""
     from txrisk.session import reliable_checkpoint
-    d = reliable_checkpoint(tx_transactions(spark, sf_dir))   # the JSON is parsed once, not once a column
+    d = tx_transactions(spark, sf_dir)
+    n = len(schema.fields)
+    at = lambda cell: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), cell)
+    row, k = F.col("TransactionID"), F.col("card2")
+    d = reliable_checkpoint(d.select(
+        "*", at(lambda j: F.when((k + j) % 7 == 0, "nan").otherwise(((k * (j + 1)) % 1000 + 0.5).cast("string"))).alias("number"),
+        at(lambda j: F.when((row + j) % 1009 == 0, F.concat(F.lit("bad"), (row + j).cast("string")))).alias("bad"),
+        at(lambda j: F.when((row + j) % 3 == 0, "NA").when((row + j) % 3 == 1, "T").otherwise('F "q", x')).alias("letter")))
     cols = []
     for j, f in enumerate(schema.fields):
-        row, k = F.col("TransactionID") + j, F.col("card2")
-        if f.name in d.columns:
-            c = F.col(f.name).cast("string")
-        elif f.dataType.simpleString() == "string":
-            c = F.when(row % 3 == 0, "NA").when(row % 3 == 1, "T").otherwise(F.lit('F "q", ' + f.name))
-        else:
-            c = F.when((k + j) % 7 == 0, "nan").otherwise(((k * (j + 1)) % 1000 + 0.5).cast("string"))
-        if f.dataType.simpleString() == "double" and f.name != "TransactionAmt":
-            c = F.when(row % 1009 == 0, F.concat(F.lit("bad"), row.cast("string"))).otherwise(c)
+        kind = f.dataType.simpleString()
+        c = F.col(f.name).cast("string") if f.name in d.columns else F.col("letter" if kind == "string" else "number")[j]
+        if kind == "double" and f.name != "TransactionAmt":
+            c = F.coalesce(F.col("bad")[j], c)
         cols.append(c.alias(f.name))
     return d.select(*cols)
 

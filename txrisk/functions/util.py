@@ -13,8 +13,3 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         F.round(F.col(f.name), digits).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields])
-
-
-def safe_div(num, den):
-    """Division that yields null instead of an ANSI error on a zero divisor."""
-    return F.try_divide(num, den)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -181,10 +180,6 @@ def encode_categories(df: DataFrame, declared=(), plain=(), suffix: str = "") ->
     return out.select(*sel)
 
 
-def string_columns(df: DataFrame, exclude=()) -> list[str]:
-    return [f.name for f in df.schema.fields if is_string(f.dataType) and f.name not in exclude]
-
-
 # ------------------------------------------------------------------ P4 / P5
 def split_train_test(df: DataFrame, offline_weeks: int = DEFAULT_OFFLINE_WEEKS,
                      day_col: str = "TransactionDay"):
@@ -212,10 +207,6 @@ def feature_columns(columns, exclude=EXCLUDE_COLS) -> list[str]:
 
 
 # ------------------------------------------------------------------ P8
-def amount_below(df: DataFrame, amount_col: str = "TransactionAmt", limit: float = 500.0) -> DataFrame:
-    return df.filter(F.col(amount_col) < F.lit(limit))
-
-
 # ------------------------------------------------------------------ P13 / P14
 def round_metrics(df: DataFrame, cols, digits: int = 4) -> DataFrame:
     cols = set(cols)
@@ -228,12 +219,6 @@ def windows_label(windows) -> str | None:
     return "+".join(str(w) for w in windows) if windows else None
 
 
-def windows_label_col(arr: Column) -> Column:
-    """P14 as a column over an array<int> of window lengths ('None' when empty)."""
-    return F.when(F.size(arr) > 0, F.array_join(F.transform(arr, lambda x: x.cast("string")), "+")) \
-        .otherwise(F.lit("None"))
-
-
 # ------------------------------------------------------------------ P15
 # Fixed family rules (name prefix or substring) from the dataset statistics report.
 FAMILIES = (
@@ -263,7 +248,3 @@ def column_families(spark, columns) -> DataFrame:
     exploded = names.select("name", F.explode(F.filter(F.array(*rules, *fams),
                                                          lambda x: x.isNotNull())).alias("family"))
     return exploded.groupBy("family").agg(F.count(F.lit(1)).alias("features"))
-
-
-def union_all(dfs) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

@@ -70,14 +70,6 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return base + "/" + "/".join(segs)
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem API (works for any scheme)."""
     jvm = spark.sparkContext._jvm

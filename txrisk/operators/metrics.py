@@ -75,11 +75,8 @@ def _score_groups(df: DataFrame, y_col: str, score_col: str) -> DataFrame:
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
 
 
-def roc_auc(df: DataFrame, y_col="y", score_col="score") -> DataFrame:
-    """Tie-aware ROC-AUC = Σ pos·(neg below + neg/2) / (P·N); null when
-    only one class is present."""
-    g = _score_groups(df, y_col, score_col)
-    cum = global_prefix_sum(g, "s", ["neg"])
+def _auc(groups: DataFrame) -> DataFrame:
+    cum = global_prefix_sum(groups, "s", ["neg"])
     return cum.agg(
         F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)).alias("num"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"),
@@ -87,10 +84,14 @@ def roc_auc(df: DataFrame, y_col="y", score_col="score") -> DataFrame:
                     F.col("num") / (F.col("P").cast("double") * F.col("N"))).alias("auc"))
 
 
-def average_precision(df: DataFrame, y_col="y", score_col="score") -> DataFrame:
-    """Score-based average precision, Σ over distinct scores (descending)
-    of (pos / P) · (cumulative pos / cumulative rows); null without positives."""
-    g = _score_groups(df, y_col, score_col).withColumn("n", F.col("pos") + F.col("neg"))
+def roc_auc(df: DataFrame, y_col="y", score_col="score") -> DataFrame:
+    """Tie-aware ROC-AUC = Σ pos·(neg below + neg/2) / (P·N); null when
+    only one class is present."""
+    return _auc(_score_groups(df, y_col, score_col))
+
+
+def _average_precision(groups: DataFrame) -> DataFrame:
+    g = groups.withColumn("n", F.col("pos") + F.col("neg"))
     cum = global_prefix_sum(g, "s", ["pos", "n"], descending=True)
     return cum.agg(
         F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n")).alias("num"),
@@ -98,6 +99,39 @@ def average_precision(df: DataFrame, y_col="y", score_col="score") -> DataFrame:
     ).select(F.when(F.col("P") > 0, F.col("num") / F.col("P")).alias("average_precision"))
 
 
+def average_precision(df: DataFrame, y_col="y", score_col="score") -> DataFrame:
+    """Score-based average precision, Σ over distinct scores (descending)
+    of (pos / P) · (cumulative pos / cumulative rows); null without positives."""
+    return _average_precision(_score_groups(df, y_col, score_col))
+
+
+def score_histogram(df: DataFrame, y_col="y", score_col="score", pred_col="pred") -> DataFrame:
+    """(s, pred, pos, neg): how many rows of each class have each score. Histograms of parts
+    of a table add up to that of the whole (``merge_histograms``), so metrics over any set of
+    parts need the histograms only. They are exact: a score is a cell of its own."""
+    y = F.col(y_col).cast("long")
+    return df.groupBy(F.col(score_col).alias("s"), F.col(pred_col).alias("pred")).agg(
+        F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
+
+
+def merge_histograms(hist: DataFrame) -> DataFrame:
+    return hist.groupBy("s", "pred").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def evaluate_histogram(hist: DataFrame) -> DataFrame:
+    """E1-E4 from a merged score histogram, as ``evaluate`` gives them from the rows."""
+    hit = F.col("pred") == 1
+    total = lambda col, when: F.coalesce(F.sum(F.when(when, F.col(col))), F.lit(0)).alias
+    c = hist.agg(total("pos", hit)("tp"), total("neg", hit)("fp"), total("pos", ~hit)("fn"), total("neg", ~hit)("tn"))
+    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    f1, precision, recall = _prf(tp, fp, fn)
+    prevalence = _div0(tp + fn, tp + fp + fn + tn)
+    return c.select(_auc(hist).scalar().alias("auc"),
+                    (precision * recall + (F.lit(1.0) - recall) * prevalence).alias("auc_pr_hard"),
+                    _average_precision(hist).scalar().alias("average_precision"),
+                    f1.alias("f1"), precision.alias("precision"), recall.alias("recall"))
+
+
 def evaluate(df: DataFrame, y_col="y", score_col="score", pred_col: str | None = None) -> DataFrame:
     """E1-E4 in one row: auc, auc_pr_hard, average_precision, f1, precision, recall."""
     if pred_col is None:

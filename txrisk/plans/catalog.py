@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +73,15 @@ def q_rolling_offset_blocks(spark, sf):
     return out.select("id", F.round("card2_amt_std_7d", 3).alias("card2_amt_std_7d"), "card2_id_count_7d")
 
 
+@query("rolling_tiny_spread")
+def q_rolling_tiny_spread(spark, sf):
+    """A spread of about one on an offset of 1e9: a formula that cancels loses every digit."""
+    tx = tb.tx_view(spark, sf).withColumn("amt", F.lit(1e9) + F.col("amt") / F.lit(100.0))
+    out = rolling_features(tx, id_col="id", time_col="dt", value_col="amt", keys=["card2"],
+                           windows_days=[7], chunk_seconds=3600)
+    return out.select("id", F.round("card2_amt_std_7d", 3).alias("card2_amt_std_7d"), "card2_id_count_7d")
+
+
 # ---------------------------------------------------------------- preparation
 from txrisk.operators import prep, profile  # noqa: E402
 
@@ -242,6 +252,16 @@ def q_best(spark, sf):
     return round_doubles(mt.best_threshold(sw, "f1"))
 
 
+@query("best_threshold_precision")
+def q_best_precision(spark, sf):
+    return round_doubles(mt.best_threshold(mt.threshold_sweep(_tx_scored(spark, sf)), "precision"))
+
+
+@query("best_threshold_recall")
+def q_best_recall(spark, sf):
+    return round_doubles(mt.best_threshold(mt.threshold_sweep(_tx_scored(spark, sf)), "recall"))
+
+
 @query("threshold_top10")
 def q_top10(spark, sf):
     return round_doubles(mt.threshold_top(mt.threshold_sweep(_tx_scored(spark, sf)), 10))
@@ -372,6 +392,44 @@ def q_rf(spark, sf):
     return _model_scores(spark, sf, "rf")
 
 
+def _one_feature(spark, sf):
+    """Transactions with one binary feature, which tells much about the label."""
+    tx = add_time_features(tb.tx_transactions(spark, sf))
+    y = (F.col("TransactionAmt") + F.col("card2") >= 100).cast("int")
+    return prep.split_train_test(tx.select(
+        "TransactionID", y.alias("isFraud"), "TransactionDT", "TransactionDay",
+        (F.col("card2") >= 50).cast("int").alias("high")), offline_weeks=2)
+
+
+ONE_FEATURE_EXCLUDE = ("TransactionID", "isFraud", "TransactionDT", "TransactionDay")
+
+
+@query("rf_leaf_scores")
+def q_rf_leaf(spark, sf):
+    """The preset's 100 trees, one split deep and without draws: a score is its leaf's share."""
+    train, test = _one_feature(spark, sf)
+    model, _ = md.train_model(train, "rf", use_sampling=False, exclude=ONE_FEATURE_EXCLUDE, maxDepth=1,
+                              bootstrap=False, featureSubsetStrategy="all")
+    return round_doubles(md.predict_model(model, test), 5)
+
+
+@query("gbt_leaf_scores")
+def q_gbt_leaf(spark, sf):
+    """The boosted preset's 100 rounds at learning rate 0.3, one split deep."""
+    train, test = _one_feature(spark, sf)
+    model, _ = md.train_model(train, "xgb", use_sampling=False, exclude=ONE_FEATURE_EXCLUDE, maxDepth=1)
+    return round_doubles(md.predict_model(model, test), 5)
+
+
+@query("rf_undersampled_scores")
+def q_rf_undersampled(spark, sf):
+    """The same trees after the under-sampler of the training call (L2, M2)."""
+    train, test = _one_feature(spark, sf)
+    model, _ = md.train_model(train, "rf", True, "undersample", exclude=ONE_FEATURE_EXCLUDE, maxDepth=1,
+                              bootstrap=False, featureSubsetStrategy="all")
+    return round_doubles(md.predict_model(model, test), 5)
+
+
 # ---------------------------------------------------------------- storage
 from txrisk.session import shared_path  # noqa: E402
 from txrisk.sources import ingest  # noqa: E402
@@ -480,14 +538,63 @@ def q_stream_log(spark, sf):
                                           "drift", "retrained"))
 
 
+@query("stream_no_detection_log")
+def q_stream_no_detection(spark, sf):
+    """The turned-over labels of ``stream_retrain_log`` with detection off."""
+    job = _shifted_replay(spark, sf, use_drift=False)
+    return round_doubles(job.log().select("batch_id", "size", "error_rate", "drift", "retrained", "model"))
+
+
+@query("stream_evaluate")
+def q_stream_evaluate(spark, sf):
+    """Pooled metrics of a replay, merged from the histograms of its batches."""
+    return round_doubles(_prequential_rule(spark, sf).evaluate())
+
+
+@query("stream_statistics")
+def q_stream_statistics(spark, sf):
+    return _prequential_rule(spark, sf).statistics()
+
+
+class _StopsBeforeLog(PrequentialJob):
+    """A replay that stops once ``stop_at`` is scored, before its log row is written."""
+
+    stop_at = 1
+
+    def _write_log(self, row):
+        if row[0] == self.stop_at:
+            raise RuntimeError("stopped between scores and log")
+        super()._write_log(row)
+
+
+@query("stream_recovered_log")
+def q_stream_recovered(spark, sf):
+    """The replay stops between the scores and the log of a batch; a new job over the same
+    folder ends with the log, scores and metrics of an undisturbed run."""
+    args = dict(batch_days=7, window_size=2)
+    root = shared_path(spark, "prequential_stopped", unique=True)
+    learner = RuleLearner(F.col("TransactionAmt") / F.lit(500.0))
+    train, stream = prep.split_train_test(tb.tx_prepared(spark, sf), offline_weeks=2)
+    stopped = _StopsBeforeLog(spark, root, learner, **args)
+    stopped.initialize(train, stream)
+    try:
+        stopped.run()
+    except StreamingQueryException:
+        pass
+    before = stopped.log().count()
+    job = PrequentialJob(spark, root, learner, **args)
+    job.run()
+    scored = job.scored().groupBy("batch_id").agg(F.count(F.lit(1)).alias("scored"),
+                                                  F.countDistinct("id").alias("scored_ids"))
+    return round_doubles(job.log().join(scored, "batch_id").select(
+        "batch_id", "seq", "size", "error_rate", "scored", "scored_ids", F.lit(before).cast("long").alias("logged_before"),
+        job.evaluate().select("auc").scalar().alias("auc")))
+
+
 SHIFT_DAY = 18  # the retraining query's labels turn over from this day on
 
 
-@query("stream_retrain_log")
-def q_stream_retrain(spark, sf):
-    """Daily batches whose labels follow the rule up to day 17 and oppose it after, so
-    that the detector fires and the learner is trained again. The detector runs at a
-    loose delta: a month of daily batches is too short for the usual one."""
+def _shifted_replay(spark, sf, use_drift=True):
     tx = tb.tx_transactions(spark, sf)
     tx = add_time_features(tx)
     hit = (F.col("TransactionAmt") >= F.lit(250.0)).cast("int")
@@ -495,9 +602,18 @@ def q_stream_retrain(spark, sf):
     train, stream = prep.split_train_test(tx, offline_weeks=1)
     job = PrequentialJob(spark, shared_path(spark, "retrain_query", unique=True),
                          RuleLearner(F.col("TransactionAmt") / F.lit(500.0)),
-                         batch_days=1, window_size=2, delta=0.3)
+                         batch_days=1, window_size=2, delta=0.3, use_drift_detection=use_drift)
     job.initialize(train, stream)
     job.run()
+    return job
+
+
+@query("stream_retrain_log")
+def q_stream_retrain(spark, sf):
+    """Daily batches whose labels follow the rule up to day 17 and oppose it after, so
+    that the detector fires and the learner is trained again. The detector runs at a
+    loose delta: a month of daily batches is too short for the usual one."""
+    job = _shifted_replay(spark, sf)
     st = job.statistics()
     totals = [st.select(c).scalar().alias(c) for c in ("total_predictions", "total_batches",
                                                        "retrain_count", "drift_count")]

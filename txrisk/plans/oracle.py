@@ -75,6 +75,12 @@ FROM off a LEFT JOIN off b ON a.card2 = b.card2 AND b.dt >= a.dt - {7 * SECONDS_
 GROUP BY a.id"""
 SQL["rolling_large_offset"] = f"WITH {OFFSET_TX}"
 SQL["rolling_large_offset_blocks"] = f"WITH {OFFSET_TX}"
+# Centred on the offset first; the stored amounts are the same doubles on both sides.
+SQL["rolling_tiny_spread"] = f"""WITH {TX}, off AS (SELECT id, dt, card2, (1e9::DOUBLE + amt / 100.0) - 1e9::DOUBLE AS amt FROM tx)
+SELECT a.id, round(coalesce(stddev_pop(b.amt), 0), 3) AS card2_amt_std_7d, count(b.id) AS card2_id_count_7d
+FROM off a LEFT JOIN off b ON a.card2 = b.card2 AND b.dt >= a.dt - {7 * SECONDS_PER_DAY}
+  AND (b.dt < a.dt OR (b.dt = a.dt AND b.id < a.id))
+GROUP BY a.id"""
 SQL["rolling_multi_key"] = rolling_multi(TX, "tx", ["card1", "card2", "addr1"], [1, 3, 7])
 
 TXD = TX + """, txd AS (
@@ -251,6 +257,11 @@ SQL["threshold_sweep"] = f"WITH {TX_SCORED}, {GRID}, {SWEEP} SELECT {SWEEP_COLS}
 SQL["best_threshold"] = (f"WITH {labelled('toxic')}, {GRID}, {SWEEP}, m AS (SELECT threshold, "
                          "coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1v, * EXCLUDE (threshold) FROM sweep) "
                          f"SELECT {SWEEP_COLS}, round(f1v, 6) AS score FROM m ORDER BY f1v DESC, threshold ASC LIMIT 1")
+for _metric, _value in (("precision", "coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0)"),
+                        ("recall", "coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0)")):
+    SQL[f"best_threshold_{_metric}"] = (
+        f"WITH {TX_SCORED}, {GRID}, {SWEEP}, m AS (SELECT threshold, {_value} AS v, * EXCLUDE (threshold) FROM sweep) "
+        f"SELECT {SWEEP_COLS}, round(v, 6) AS score FROM m ORDER BY v DESC, threshold ASC LIMIT 1")
 SQL["threshold_top10"] = (f"WITH {TX_SCORED}, {GRID}, {SWEEP} SELECT {SWEEP_COLS} FROM sweep "
                           "ORDER BY coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) DESC, threshold ASC LIMIT 10")
 
@@ -356,6 +367,36 @@ SQL["drift_shifted_series"] = f"""WITH {TX}, {ERROR_SERIES},
 sh AS (SELECT series, pos, CASE WHEN pos >= (SELECT min(pos) + 60 FROM s) THEN 1 - value ELSE value END AS value
        FROM s), """ + first_detection_sql("sh")
 
+# ------------------------------------------------------------------ models
+ONE_FEATURE = TXD + """, one AS (SELECT id, day, (amt + card2 >= 100)::INT AS y, (card2 >= 50)::INT AS high FROM txd),
+train AS (SELECT * FROM one WHERE day < 14), test AS (SELECT * FROM one WHERE day >= 14)"""
+
+LEAF_SCORES = """SELECT id AS TransactionID, y AS isFraud, round(p, 5) AS score, (p >= 0.5)::INT AS pred
+FROM test JOIN leaf USING (high)"""
+
+SQL["rf_leaf_scores"] = f"""WITH {ONE_FEATURE},
+leaf AS (SELECT high, avg(y) AS p FROM train GROUP BY high)
+{LEAF_SCORES}"""
+
+# Under-sampling keeps the smallest (draw, id) of the larger class, as many as the smaller has.
+SQL["rf_undersampled_scores"] = f"""WITH {ONE_FEATURE},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {md5draw("id")}, id) AS r FROM train),
+kept AS (SELECT * FROM ranked WHERE r <= (SELECT min(n) FROM (SELECT count(*) AS n FROM train GROUP BY y))),
+leaf AS (SELECT high, avg(y) AS p FROM kept GROUP BY high)
+{LEAF_SCORES}"""
+
+# Boosting by hand: the first tree fits the signed label, each later one the gradient of the
+# logistic loss, at the learning rate; a leaf holds the mean of its rows.
+SQL["gbt_leaf_scores"] = f"""WITH RECURSIVE {ONE_FEATURE},
+share AS (SELECT high, avg(y) AS q FROM train GROUP BY high),
+boost(high, q, k, f) AS (
+  SELECT high, q, 1, 2 * q - 1 FROM share
+  UNION ALL
+  SELECT high, q, k + 1, f + 0.3::DOUBLE * (4 * q / (1 + exp(2 * f)) - 4 * (1 - q) / (1 + exp(-2 * f)))
+  FROM boost WHERE k < 100),
+leaf AS (SELECT high, 1 / (1 + exp(-2 * f)) AS p FROM boost WHERE k = 100)
+{LEAF_SCORES}"""
+
 # ------------------------------------------------------------------ storage
 TXR = TX + """, txr AS (SELECT id AS TransactionID, y AS isFraud, dt AS TransactionDT,
   amt AS TransactionAmt, product AS ProductCD, card1, card2, addr1 FROM tx)"""
@@ -384,6 +425,29 @@ SELECT batch_id, (14 + batch_id * 7)::INT AS start_day, (14 + batch_id * 7 + 6):
        false AS drift, false AS retrained
 FROM st GROUP BY batch_id"""
 
+REPLAYED = STREAM_SIDE + ", sc AS (SELECT id, batch_id, y, score, (score >= 0.5)::INT AS pred FROM st)"
+
+SQL["stream_evaluate"] = (f"WITH {REPLAYED} SELECT round({AUC.format(src='sc')}, 6) AS auc, "
+                          f"round({HARD.format(conf=CONF.format(src='sc'))}, 6) AS auc_pr, {PRF} "
+                          f"FROM {CONF.format(src='sc')}")
+
+SQL["stream_statistics"] = f"""WITH {REPLAYED}, n AS (SELECT count(DISTINCT batch_id) AS batches, count(*) AS rows FROM sc)
+SELECT rows::BIGINT AS total_predictions, batches::BIGINT AS total_batches, 0::BIGINT AS retrain_count,
+       0::BIGINT AS drift_count, 2 AS window_size, least(2, batches) AS current_window_batches, 0 AS warning_count
+FROM n"""
+
+SQL["stream_recovered_log"] = f"""WITH {REPLAYED}
+SELECT batch_id, row_number() OVER (ORDER BY batch_id)::INT AS seq, count(*) AS size,
+       round(avg((pred <> y)::INT), 6) AS error_rate, count(*) AS scored, count(DISTINCT id) AS scored_ids,
+       1::BIGINT AS logged_before, round({AUC.format(src='sc')}, 6) AS auc
+FROM sc GROUP BY batch_id"""
+
+SQL["stream_no_detection_log"] = f"""WITH {TXD}
+SELECT (day - 7)::INT AS batch_id, count(*) AS size,
+       round(avg(((amt >= 250)::INT <> (CASE WHEN day < 18 THEN (amt >= 250)::INT ELSE 1 - (amt >= 250)::INT END))::INT), 6) AS error_rate,
+       false AS drift, false AS retrained, 'rule' AS model
+FROM txd WHERE day >= 7 GROUP BY day"""
+
 SQL["stream_retrain_log"] = f"""WITH {TXD},
 b AS (SELECT day - 7 AS batch_id, day AS start_day, count(*) AS size,
              avg(((amt >= 250)::INT <> (CASE WHEN day < 18 THEN (amt >= 250)::INT ELSE 1 - (amt >= 250)::INT END))::DOUBLE) AS value

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -155,20 +156,44 @@ def score(text: str, kind: str, start: int, end: int, confirmed: bool) -> float:
     return min(1.0, PRIOR[kind] + VALID * confirmed + CONTEXT * bool(_CONTEXT[kind].search(near)))
 
 
-def spans(text: str) -> list[tuple[str, int, int, float]]:
+class _Held:
+    """The ground that spans cover, as disjoint intervals in order: an overlap is found by
+    bisection, so a text with many spans costs no more than its spans times their logarithm."""
+
+    def __init__(self, taken: list[tuple[int, int]]):
+        self.starts, self.ends = [], []
+        for s, e in sorted(taken):  # base spans of different kinds may overlap
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def take(self, s: int, e: int) -> bool:
+        """Adds the interval unless it overlaps one that is held."""
+        at = bisect_left(self.starts, e)  # the intervals before it start before the end
+        if at and self.ends[at - 1] > s:
+            return False
+        self.starts.insert(at, s)
+        self.ends.insert(at, e)
+        return True
+
+
+def spans(text: str, base: list[tuple[str, int, int]] | None = None) -> list[tuple[str, int, int, float]]:
     """All spans with their scores, by kind as in ``KINDS``, then start. An added span
-    never overlaps a base one or an added one of higher rank."""
-    found = [(k, s, e, score(text, k, s, e, k in ("card", "ip"))) for k, s, e in base_spans(text)]
+    never overlaps a base one or an added one of higher rank. ``base``: the text's
+    ``base_spans`` where they are at hand."""
+    base = base_spans(text) if base is None else base
+    found = [(k, s, e, score(text, k, s, e, k in ("card", "ip"))) for k, s, e in base]
     if not _DIGIT.search(text):
         return found
-    held = [(s, e) for _, s, e, _ in found]
+    held = _Held([(s, e) for _, s, e in base])
     for kind, s, e, confirmed in _proposals(text):
         # A checksum or a context word is needed: the priors alone stay below KEEP.
         p = score(text, kind, s, e, confirmed)
         need = p >= KEEP and (kind == "iban" or p > PRIOR[kind] + VALID * confirmed)
-        if need and not any(s < b and a < e for a, b in held):
+        if need and held.take(s, e):
             found.append((kind, s, e, p))
-            held.append((s, e))
     return sorted(found, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 
@@ -190,7 +215,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
                 base.append(",".join(f"{k}:{s}:{e}" for k, s, e in found))
                 for k in counts:
                     counts[k].append(sum(f[0] == k for f in found))
-                scored = spans(text)
+                scored = spans(text, found)
                 every.append(",".join(f"{k}:{s}:{e}" for k, s, e, _ in scored))
                 scores.append([p for *_, p in scored])
             yield pa.RecordBatch.from_arrays(

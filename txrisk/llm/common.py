@@ -76,6 +76,25 @@ def rank_in_groups(df: DataFrame, keys: list[str], order: list[Column], salt: Co
             .drop("_salt", "_before"))
 
 
+def chunked_by_row(d: DataFrame, size: Column, chunks: int, chunk_bytes: int) -> DataFrame:
+    """``d`` with a column ``chunk``: rows are dealt by their id and text length, and rows
+    that share both and come to more than a quarter of a chunk (full repeats of one row,
+    null ids) by a row number that is stored with them, so that no chunk gathers them."""
+    key = {"_key_id": F.col("doc_id"), "_key_n": F.length("text")}
+    heavy = (d.select(*[c.alias(k) for k, c in key.items()], size.alias("_size")).groupBy(*key)
+             .agg(F.count(F.lit(1)).alias("_rows"), F.sum("_size").alias("_size"))
+             .where((F.col("_rows") > 1) & (F.col("_size") > chunk_bytes // 4)).select(*key))
+    heavy = written(d.sparkSession, heavy, "heavy_rows")
+    chunk = lambda *salt: F.pmod(F.xxhash64("doc_id", F.length("text"), *salt), F.lit(chunks))
+    if heavy.isEmpty():
+        return d.withColumn("chunk", chunk())
+    same = F.col("_key_id").eqNullSafe(key["_key_id"]) & (F.col("_key_n") == key["_key_n"])
+    numbered = written(d.sparkSession, d.join(heavy, same, "left_semi")
+                       .withColumn("_row", F.monotonically_increasing_id()), "heavy_texts")
+    return (d.join(heavy, same, "left_anti").withColumn("chunk", chunk())
+            .unionByName(numbered.withColumn("chunk", chunk("_row")).drop("_row")))
+
+
 def give_back() -> None:
     """Return a Python worker's freed memory to the system: the worker outlives its task."""
     gc.collect()

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import text_of
+from txrisk.llm.common import chunked_by_row, text_of
 
 LENGTH = 50          # fixed by the refinement steps 8, 16, 32, 50
 GRAM = 24
@@ -437,10 +437,11 @@ def repeated_passages(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_byte
     """
     id_type = docs.schema["doc_id"].dataType
     d = docs.select("doc_id", text_of().alias("text"))
-    size = d.agg(F.sum(F.octet_length("text") + 64)).head()[0] or 0
+    row_size = F.octet_length("text") + 64
+    size = d.agg(F.sum(row_size)).head()[0] or 0
     chunks, parts = max(1, -(-size // chunk_bytes)), max(1, -(-size // part_bytes))
-    d = (d.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NULL_ID))))
-         .withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(chunks))))
+    d = d.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NULL_ID))))
+    d = chunked_by_row(d, row_size, chunks, chunk_bytes)
     chunked = d.groupBy("chunk")
     anchors = chunked.applyInArrow(send_anchors(parts), DDL).groupBy("part").applyInArrow(shared_anchors, DDL)
     zones = (chunked.cogroup(anchors.groupBy("chunk")).applyInArrow(send_zones(parts), DDL)

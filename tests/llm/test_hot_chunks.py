@@ -1,7 +1,8 @@
 """Rows that share id and length are dealt over several chunks; results stay the same."""
+import pytest
 from pyspark.sql import functions as F
 
-from txrisk.llm import suffix_dedup
+from txrisk.llm import lm_score, suffix_dedup
 from txrisk.llm.common import chunked_by_row
 
 
@@ -36,3 +37,18 @@ def test_passages_of_repeated_rows_do_not_depend_on_chunks(spark):
     assert got.where("doc_id = 7 and n_removed > 0").count() == 0
     assert got.where("doc_id = 9 and n_removed >= 63").count() == 1
     assert got.where("doc_id is null and n_removed >= 63").count() == 600
+
+
+def test_scores_of_repeated_rows_do_not_depend_on_chunks(spark):
+    docs = _docs(spark)
+    small, whole = ({(r["doc_id"], r["n_bytes"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["n"]): r
+                     for r in lm_score.ctw_scores(docs, chunk_bytes=size).groupBy(
+                         "doc_id", "n_bytes", "held_out", "n_tokens", "n_known", "train_tokens")
+                     .agg(F.count("*").alias("n"), F.min("score").alias("least"), F.max("score").alias("most"),
+                          F.sum("base_score").alias("base")).collect()} for size in (20000, 8 << 20))
+    assert small.keys() == whole.keys() and sum(k[-1] for k in small) == docs.count()
+    for k, r in small.items():
+        assert [r["least"], r["most"]] == pytest.approx([whole[k]["least"], whole[k]["most"]], rel=1e-5)
+        assert r["base"] == pytest.approx(whole[k]["base"])
+    rows = {(k[0], k[-1]) for k in small}
+    assert (7, 3000) in rows and (None, 600) in rows

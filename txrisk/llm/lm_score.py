@@ -11,7 +11,8 @@ a text's bytes and its end mark is the score.
 The counts are those of (context, byte) grams. Nothing of them is broadcast or
 collected; all of it moves by key:
 
-1. Documents are dealt into chunks of about ``CHUNK_BYTES`` by a hash. A chunk counts
+1. Documents are dealt into chunks of about ``CHUNK_BYTES`` by a hash (repeats of a row
+   that would fill a chunk by a stored row number). A chunk counts
    its grams and words (pre-aggregation) and sends them on in parts by a hash of the key.
 2. A part adds its keys' training counts over all chunks. Distinct grams then go by
    their last context bytes to the task that has this part of the tree.
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import text_of
+from txrisk.llm.common import chunked_by_row, text_of
 
 DEPTH = 5
 CHUNK_BYTES = 8 << 20
@@ -410,12 +411,13 @@ def ctw_scores(docs: DataFrame, depth: int = DEPTH, chunk_bytes: int = CHUNK_BYT
     """
     spark = docs.sparkSession
     d = docs.select("doc_id", text_of().alias("text"))
-    size = d.agg(F.sum(F.octet_length("text") + 16)).head()[0] or 0
+    row_size = F.octet_length("text") + 16
+    size = d.agg(F.sum(row_size)).head()[0] or 0
     chunks = max(1, -(-size // chunk_bytes))
     parts = chunks
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    d = (d.withColumn("held_out", F.crc32(id_text.cast("binary")) % 5 == HELD_OUT)
-         .withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(chunks))))
+    d = chunked_by_row(d.withColumn("held_out", F.crc32(id_text.cast("binary")) % 5 == HELD_OUT),
+                       row_size, chunks, chunk_bytes)
     sent = d.groupBy("chunk").applyInArrow(emit(parts, depth), PACKED_DDL)
     sums = sent.groupBy("part").applyInArrow(add_up(parts, depth), SUMS_DDL)
     words = sums.where("tree < 0").agg(F.sum("n").alias("n"), F.sum("distinct").alias("v"))

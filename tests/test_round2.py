@@ -74,7 +74,7 @@ def _spread(spark, rows, c, mode):
     df = spark.createDataFrame(rows, "id long, dt long, k string, v double")
     return {r["id"]: r["k_v_std_7d"] for r in rolling_features(
         df, id_col="id", time_col="dt", value_col="v", keys=["k"], windows_days=[7], chunk_seconds=c,
-        between_mode=mode).collect()}
+        between_mode=mode, plain_rows=0).collect()}
 
 
 @pytest.mark.parametrize("mode", ["frames", "blocks"])

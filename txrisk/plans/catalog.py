@@ -60,7 +60,7 @@ def q_rolling_offset(spark, sf):
     """Amounts on a large offset, daily chunks: part B as frames over chunks."""
     tx = tb.tx_view(spark, sf).withColumn("amt", F.col("amt") + F.lit(1e6))
     out = rolling_features(tx, id_col="id", time_col="dt", value_col="amt", keys=["card2"],
-                           windows_days=[7], chunk_seconds=86400)
+                           windows_days=[7], chunk_seconds=86400, plain_rows=0)
     return out.select("id", F.round("card2_amt_std_7d", 3).alias("card2_amt_std_7d"), "card2_id_count_7d")
 
 
@@ -69,7 +69,7 @@ def q_rolling_offset_blocks(spark, sf):
     """The same with hourly chunks: part B as running sums in blocks."""
     tx = tb.tx_view(spark, sf).withColumn("amt", F.col("amt") + F.lit(1e6))
     out = rolling_features(tx, id_col="id", time_col="dt", value_col="amt", keys=["card2"],
-                           windows_days=[7], chunk_seconds=3600)
+                           windows_days=[7], chunk_seconds=3600, plain_rows=0)
     return out.select("id", F.round("card2_amt_std_7d", 3).alias("card2_amt_std_7d"), "card2_id_count_7d")
 
 
@@ -78,7 +78,7 @@ def q_rolling_tiny_spread(spark, sf):
     """A spread of about one on an offset of 1e9: a formula that cancels loses every digit."""
     tx = tb.tx_view(spark, sf).withColumn("amt", F.lit(1e9) + F.col("amt") / F.lit(100.0))
     out = rolling_features(tx, id_col="id", time_col="dt", value_col="amt", keys=["card2"],
-                           windows_days=[7], chunk_seconds=3600)
+                           windows_days=[7], chunk_seconds=3600, plain_rows=0)
     return out.select("id", F.round("card2_amt_std_7d", 3).alias("card2_amt_std_7d"), "card2_id_count_7d")
 
 

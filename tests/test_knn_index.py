@@ -52,3 +52,22 @@ def test_smote_over_the_index(spark):
     df = spark.createDataFrame(rows, "id long, y int, vec array<double>")
     syn = smote(df, "y", "id", "vec", neighbours=knn_index.lsh_knn).where(F.col("base_id").isNotNull())
     assert syn.count() == 30
+
+
+def test_vectors_are_copied_per_stretch_not_per_bucket(vectors, monkeypatch):
+    copies = []
+    kernel = knn_index.nearest_in_buckets
+
+    def counted(k):
+        inner = kernel(k)
+        total = vectors.sparkSession.sparkContext.accumulator(0)
+        copies.append(total)
+
+        def topk(qpdf, mpdf):
+            total.add(len(qpdf))
+            return inner(qpdf, mpdf)
+        return topk
+
+    monkeypatch.setattr(knn_index, "nearest_in_buckets", counted)
+    knn_index.lsh_knn(vectors.where("id < 600"), 3, tables=2, bucket_rows=20).count()
+    assert copies[0].value == 2 * 600       # five bits: one stretch a table, six buckets asked

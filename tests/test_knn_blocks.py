@@ -37,3 +37,23 @@ def test_units_gather_near_cells_and_cut_large_ones():
     pivots = np.array([[0.0], [10.0], [0.1], [10.1], [5.0]])
     units = kn._units([(0, 4, 1.0), (1, 4, 1.0), (2, 4, 1.0), (3, 4, 1.0), (4, 25, 1.0)], pivots, 8)
     assert units == [([0, 2], 0, 1), ([1, 3], 1, 1), ([4], 2, 4)]
+
+
+def test_folded_shortlist_bounds_the_kth_and_misses_none():
+    rng = np.random.default_rng(8)
+    d2 = rng.normal(size=(50, 3000)) ** 2
+    d2[:5, :2990] = np.inf
+    d2[5:9] = 1.0                                              # ties everywhere
+    for k in (1, 3, 5):
+        near, kth = kn._kth_at_most(d2, k), np.sort(d2, axis=1)[:, k - 1]
+        assert (near >= kth).all()
+        assert np.median((d2 <= near[:, None]).sum(axis=1)[9:]) <= 3 * k
+    m = np.concatenate([rng.normal(size=(2900, 4)), np.full((100, 4), 2.0)]) + 1e5
+    mid, qid = rng.permutation(3000).astype("int64"), np.arange(3000, 3040, dtype="int64")
+    q = np.concatenate([m[:30] + 0.01, m[-10:]])
+    rid, rnn, rd = kn.nearest(q, qid, m, mid, 5)
+    want = []
+    for i, v in zip(qid, q):
+        d = np.sqrt(((m - v) ** 2).sum(axis=1))
+        want += [(i, mid[j], round(d[j], 9)) for j in np.lexsort((mid, d))[:5]]
+    assert list(zip(rid, rnn, np.round(rd, 9))) == want
